@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from reviewlab.catalog import features, tables  # noqa: F401
+from reviewlab.catalog import evaluations, features, profiles, statistics, tables  # noqa: F401
 from reviewlab.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
