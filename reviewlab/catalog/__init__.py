@@ -1,6 +1,14 @@
 """All registered queries."""
 
-from reviewlab.catalog import evaluations, features, profiles, statistics, tables  # noqa: F401
+from reviewlab.catalog import (  # noqa: F401
+    encodings,
+    evaluations,
+    features,
+    modelling,
+    profiles,
+    statistics,
+    tables,
+)
 from reviewlab.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

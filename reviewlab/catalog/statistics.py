@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlab.catalog.features import rounded
 from reviewlab.catalog.registry import query
 from reviewlab.catalog.roles_sql import BASE, with_roles
 from reviewlab.operators import statistics as st
@@ -124,7 +125,8 @@ FULL_BASE = (
 
 def full_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = A.tables(spark, sf_dir)
-    return bt.build_base_table(tables, payment_types=A.PAYMENT_TYPES, keep_helpers=True)
+    base = bt.build_base_table(tables, payment_types=A.PAYMENT_TYPES, keep_helpers=True)
+    return rounded(base)
 
 
 @query(
