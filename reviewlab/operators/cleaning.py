@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +23,11 @@ def missing(df: DataFrame, name: str, nan: bool = True) -> Column:
     return test | F.isnan(name) if nan and is_float(df, name) else test
 
 
+def _present(df: DataFrame, name: str) -> str:
+    test = f"`{name}` IS NOT NULL"
+    return f"{test} AND NOT isnan(`{name}`)" if is_float(df, name) else test
+
+
 def drop_nulls(df: DataFrame, how: str = "any", subset: Iterable[str] | None = None) -> DataFrame:
     """Remove rows with any (or with only) missing values, NaN included.
 
@@ -31,13 +35,10 @@ def drop_nulls(df: DataFrame, how: str = "any", subset: Iterable[str] | None = N
     one below a join, and turn an outer join whose right side must be present into an inner one.
     """
     names = list(subset) if subset is not None else df.columns
-    if how == "any":
-        present = [F.col(c).isNotNull() for c in names]
-        present += [~F.isnan(c) for c in names if is_float(df, c)]
-        return df.filter(reduce(lambda a, b: a & b, present))
-    if how == "all":
-        return df.filter(~reduce(lambda a, b: a & b, [missing(df, c) for c in names]))
-    raise ValueError(f"how must be 'any' or 'all', not {how!r}")
+    if how not in ("any", "all"):
+        raise ValueError(f"how must be 'any' or 'all', not {how!r}")
+    link = " AND " if how == "any" else " OR "
+    return df.filter(link.join(f"({_present(df, c)})" for c in names))
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

@@ -177,14 +177,15 @@ def with_fold(df: DataFrame, folds: int, key: str = KEY, seed: int = SPLIT_SEED)
 
 
 def stage_for_training(
-    df: DataFrame, partitions: int = TRAIN_PARTITIONS, key: str | None = KEY, durable: bool = True
+    df: DataFrame, partitions: int | None = None, key: str = KEY, durable: bool = True
 ) -> DataFrame:
-    """Spread rows evenly and keep them for the many passes of a training run.
+    """Spread rows by key and keep them for the many passes of a training run.
 
-    ``durable`` writes them once to the shared checkpoint folder, so that a lost executor costs a
+    Without a number of partitions the session's setting holds and adaptive execution merges
+    small ones; a fixed number such as TRAIN_PARTITIONS suits one size of data only. ``durable`` writes them once to the shared checkpoint folder, so that a lost executor costs a
     read and not the joins behind the rows. Call ``unpersist`` on the result when done.
     """
-    spread = df.repartition(partitions, key) if key else df.repartition(partitions)
+    spread = df.repartition(partitions, key) if partitions else df.repartition(key)
     if durable:
         shared_folder(df.sparkSession)
         spread = spread.checkpoint(eager=True)

@@ -147,8 +147,11 @@ def best_params(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
 
 
 def coefficients(model: Model, encoded: DataFrame) -> DataFrame:
-    """(feature, weight) of a linear model, the intercept last."""
-    names = feature_names(encoded, model.getFeaturesCol())
+    """(feature, weight) of a linear model, the intercept last.
+
+    Scaling keeps the order of the entries but not their names, so these come from ``features``.
+    """
+    names = feature_names(encoded)
     rows = [(n, float(w)) for n, w in zip(names, model.coefficients.toArray())]
     rows.append(("(intercept)", float(model.intercept)))
     return _frame(encoded.sparkSession, rows, "feature string, weight double")
@@ -156,7 +159,7 @@ def coefficients(model: Model, encoded: DataFrame) -> DataFrame:
 
 def feature_importances(model: Model, encoded: DataFrame) -> DataFrame:
     """(feature, importance) of a tree model, the most important first."""
-    names = feature_names(encoded, model.getFeaturesCol())
+    names = feature_names(encoded)
     rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
     report = _frame(encoded.sparkSession, rows, "feature string, importance double")
     return report.orderBy(F.desc("importance"), "feature")

@@ -38,7 +38,7 @@ def prepare(
     key: str = en.KEY,
     folds: int = 3,
     handle_invalid: str = "keep",
-    partitions: int = en.TRAIN_PARTITIONS,
+    partitions: int | None = None,
     durable: bool = True,
 ) -> Prepared:
     """Split by key, fit the encoder on the training side only, encode and stage both sides."""
