@@ -27,31 +27,34 @@ def score_column(scored: DataFrame) -> Column:
 # -- hard predictions -------------------------------------------------------------------------
 
 
-def confusion_matrix(
-    df: DataFrame, prediction: str = "prediction", label: str = "label"
-) -> DataFrame:
-    """One row (tp, fp, fn, tn); a class nobody predicted counts zero."""
+def _cells(prediction: str, label: str) -> list[Column]:
     p, y = F.col(prediction), F.col(label)
     cells = {"tp": (1, 1), "fp": (1, 0), "fn": (0, 1), "tn": (0, 0)}
-    return df.agg(*[F.count_if((p == a) & (y == b)).alias(n) for n, (a, b) in cells.items()])
+    return [F.count_if((p == a) & (y == b)).alias(n) for n, (a, b) in cells.items()]
 
 
-def _rates() -> dict[str, Column]:
+def _rates() -> list[Column]:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return {
-        "accuracy": F.try_divide(tp + tn, tp + fp + fn + tn),
-        "sensitivity": F.try_divide(tp, tp + fn),
-        "specificity": F.try_divide(tn, tn + fp),
-        "precision": F.try_divide(tp, tp + fp),
-    }
+    return [
+        F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+        F.try_divide(tp, tp + fn).alias("sensitivity"),
+        F.try_divide(tn, tn + fp).alias("specificity"),
+        F.try_divide(tp, tp + fp).alias("precision"),
+    ]
+
+
+def confusion_matrix(
+    df: DataFrame, prediction: str = "prediction", label: str = "label"
+) -> DataFrame:
+    """One row (tp, fp, fn, tn); a class nobody predicted counts zero."""
+    return df.agg(*_cells(prediction, label))
 
 
 def classification_rates(
     df: DataFrame, prediction: str = "prediction", label: str = "label"
 ) -> DataFrame:
     """Accuracy, sensitivity, specificity and precision of class 1; null where undefined."""
-    cells = confusion_matrix(df, prediction, label)
-    return cells.select(*[c.alias(n) for n, c in _rates().items()])
+    return confusion_matrix(df, prediction, label).select(*_rates())
 
 
 def weighted_prf(
@@ -123,12 +126,14 @@ def auc_roc(
     return t.agg(F.sum(share * height).alias("auc"))
 
 
+def _log_loss(probability: str, label: str) -> Column:
+    p = F.least(F.greatest(F.col(probability), F.lit(EPSILON)), F.lit(1 - EPSILON))
+    return F.avg(F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))).alias("log_loss")
+
+
 def log_loss(df: DataFrame, probability: str = "score", label: str = "label") -> DataFrame:
     """Mean negative log likelihood of the true class."""
-    p = F.least(F.greatest(F.col(probability), F.lit(EPSILON)), F.lit(1 - EPSILON))
-    return df.agg(
-        F.avg(F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))).alias("log_loss")
-    )
+    return df.agg(_log_loss(probability, label))
 
 
 # -- whole models -----------------------------------------------------------------------------
@@ -136,19 +141,17 @@ def log_loss(df: DataFrame, probability: str = "score", label: str = "label") ->
 
 def evaluate(scored: DataFrame) -> DataFrame:
     """(metric, value) of a model's output; log loss only where there are probabilities."""
-    rows = scored.select(
-        F.col("label"), F.col("prediction"), score_column(scored).alias("score")
-    ).persist()
+    rows = scored.select("label", "prediction", score_column(scored).alias("score")).persist()
     try:
-        found = rows.agg(*[F.count(F.lit(1)).alias("rows")]).head().asDict()
-        found.update(classification_rates(rows).head().asDict())
+        sums = [F.count(F.lit(1)).alias("rows"), *_cells("prediction", "label")]
+        if "probability" in scored.columns:
+            sums.append(_log_loss("score", "label"))
+        found = rows.agg(*sums).select("*", *_rates()).drop("tp", "fp", "fn", "tn").head().asDict()
         found.update(weighted_prf(rows).head().asDict())
         found.update(auc_roc(rows).head().asDict())
-        if "probability" in scored.columns:
-            found.update(log_loss(rows).head().asDict())
     finally:
         rows.unpersist()
-    lines = [(m, None if v is None else float(v)) for m, v in found.items()]
+    lines = [(m, None if v is None else float(v)) for m, v in sorted(found.items())]
     return scored.sparkSession.createDataFrame(lines, "metric string, value double")
 
 
