@@ -80,9 +80,13 @@ def grid(estimator: Estimator, values: dict[str, list]) -> list[dict]:
     return builder.build()
 
 
-def evaluator() -> BinaryClassificationEvaluator:
-    """Area under ROC from ``rawPrediction``, which every classifier here writes."""
-    return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
+def evaluator(column: str = "rawPrediction") -> BinaryClassificationEvaluator:
+    """Area under ROC from ``rawPrediction``, which every classifier here writes.
+
+    The raw prediction of a single tree counts the rows of a leaf, so a tree's area by
+    ``probability`` is another number; a grid search may use either.
+    """
+    return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=column)
 
 
 def tune(
@@ -93,6 +97,7 @@ def tune(
     features: str | None = None,
     fold_column: str | None = "fold",
     parallelism: int = 4,
+    score_column: str = "rawPrediction",
     **fixed,
 ) -> CrossValidatorModel:
     """Grid search by cross-validated area under ROC.
@@ -104,7 +109,7 @@ def tune(
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid(estimator, values or GRIDS[name]),
-        evaluator=evaluator(),
+        evaluator=evaluator(score_column),
         numFolds=folds or FOLDS[name],
         parallelism=parallelism,
         seed=42,
