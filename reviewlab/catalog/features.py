@@ -20,8 +20,8 @@ from reviewlab.sources import adapters as A
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Six decimals for the columns whose sum depends on the order of addition."""
-    return df.withColumns({c: F.round(c, 6) for c in ROUNDED if c in df.columns})
+    """Fixed decimals for the columns whose sum depends on the order of addition."""
+    return df.withColumns({c: F.round(c, d) for c, d in ROUNDED.items() if c in df.columns})
 
 
 # -- products, orders, items ------------------------------------------------------------------

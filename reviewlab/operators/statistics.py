@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,44 +39,49 @@ def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair as (row, col, r); rows with a null are left out.
 
-    Spark computes the matrix in one distributed Gram pass; only its k x k cells are local.
+    All pairs are measured in one pass, with running moments that do not lose digits to large
+    means; nothing is cached or brought to the driver.
     """
-    vectors = _doubles(df, columns).select(array_to_vector(F.array(*columns)).alias("v"))
-    matrix = Correlation.corr(vectors, "v").head()[0].toArray()
+    names = list(columns)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    row = _doubles(df, names).agg(
+        *[F.corr(names[i], names[j]).alias(f"r{i}_{j}") for i, j in pairs]
+    )
     cells = [
-        (a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
+        F.struct(
+            F.lit(a).alias("row"),
+            F.lit(b).alias("col"),
+            F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"),
+        )
+        for i, a in enumerate(names)
+        for j, b in enumerate(names)
     ]
-    return df.sparkSession.createDataFrame(cells, "row string, col string, r double")
+    return row.select(F.inline(F.array(*cells)))
 
 
 def vif(df: DataFrame, columns: Sequence[str], center: bool = False) -> DataFrame:
     """Variance inflation factor of each column, largest first.
 
     Each column is regressed on the others without an intercept, so the factor is the diagonal
-    of the inverse cosine matrix. With ``center`` the means are taken out first, which gives the
-    textbook factor. All sums come from one pass; the k x k inverse is local.
+    of the inverse cosine matrix. With ``center`` it is that of the correlation matrix, the
+    textbook factor. The k(k+1)/2 numbers come from one pass; the k x k inverse is local.
     A constant column counts like any other and is not taken for an intercept.
     """
-    k = len(columns)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
     names = list(columns)
+    k = len(names)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    pair = F.corr if center else lambda a, b: F.sum(F.col(a) * F.col(b))
     row = (
         _doubles(df, names)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(c).alias(f"s{i}") for i, c in enumerate(names)],
-            *[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"p{i}_{j}") for i, j in pairs],
-        )
+        .agg(*[pair(names[i], names[j]).alias(f"p{i}_{j}") for i, j in pairs])
         .head()
     )
-    gram = np.full((k, k), np.nan)
+    gram = np.empty((k, k))
     for i, j in pairs:
-        if row["n"]:
-            shift = row[f"s{i}"] * row[f"s{j}"] / row["n"] if center else 0.0
-            gram[i, j] = gram[j, i] = row[f"p{i}_{j}"] - shift
-    factors = _inflation(gram)
+        cell = row[f"p{i}_{j}"]
+        gram[i, j] = gram[j, i] = np.nan if cell is None else cell
     report = df.sparkSession.createDataFrame(
-        [(c, float(v)) for c, v in zip(names, factors)], "feature string, vif double"
+        [(c, float(v)) for c, v in zip(names, _inflation(gram))], "feature string, vif double"
     )
     return report.orderBy(F.desc("vif"), "feature")
 

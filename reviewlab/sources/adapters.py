@@ -46,13 +46,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipping = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
+    # cents times percent, so the product is exact before it is divided once
+    shipping = F.rint(F.col("l_extendedprice") * 100) * F.rint(F.col("l_tax") * 100) / 10000
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").alias("price"),
-        shipping.cast("double").alias("shipping_cost"),
+        shipping.alias("shipping_cost"),
     )
 
 
@@ -61,7 +62,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         F.col("l_returnflag").alias("payment_type"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("payment_installments"),
+        F.rint(F.col("l_discount") * 100).cast("int").alias("payment_installments"),
         F.col("l_extendedprice").alias("payment_value"),
     )
 

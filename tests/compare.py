@@ -1,6 +1,8 @@
 """Run the registered queries in Spark and their SQL in DuckDB and compare the rows.
 
-    python tests/compare.py [sf] [name ...]
+    python tests/compare.py [sf] [--sql] [name ...]
+
+With --sql the queries without SQL are left out.
 """
 
 from __future__ import annotations
@@ -79,6 +81,8 @@ def main(argv):
     from __spark_entry__ import oracle_sql, queries
     from reviewlab.session import session
 
+    only_sql = "--sql" in argv
+    argv = [a for a in argv if a != "--sql"]
     sf = argv[0] if argv else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
     spark = session(
@@ -95,6 +99,8 @@ def main(argv):
     for name, run in queries().items():
         if argv[1:] and not any(name.startswith(p) for p in argv[1:]):
             continue
+        if only_sql and name not in sqls:
+            continue
         t = time.time()
         try:
             got = spark_rows(run(spark, sf_dir))
