@@ -197,6 +197,6 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stage_for_training", "select o_orderkey, o_custkey, o_totalprice from orders")
 def stage_for_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repartitioned by key, written to the shared checkpoint folder and kept."""
+    """Spread evenly, written to the shared checkpoint folder and kept."""
     rows = A.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return en.stage_for_training(rows, key="o_orderkey")
+    return en.stage_for_training(rows)

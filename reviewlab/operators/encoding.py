@@ -11,6 +11,7 @@ from pyspark.ml.feature import (
     UnivariateFeatureSelector,
     VectorAssembler,
 )
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -177,15 +178,20 @@ def with_fold(df: DataFrame, folds: int, key: str = KEY, seed: int = SPLIT_SEED)
 
 
 def stage_for_training(
-    df: DataFrame, partitions: int | None = None, key: str = KEY, durable: bool = True
+    df: DataFrame, partitions: int | None = None, durable: bool = True
 ) -> DataFrame:
-    """Spread rows by key and keep them for the many passes of a training run.
-
-    Without a number of partitions the session's setting holds and adaptive execution merges
-    small ones; a fixed number such as TRAIN_PARTITIONS suits one size of data only. ``durable`` writes them once to the shared checkpoint folder, so that a lost executor costs a
-    read and not the joins behind the rows. Call ``unpersist`` on the result when done.
+    """Spread rows evenly and keep them for the many passes of a training run.
+
+    Rows go by the hash of all their plain columns: a key with very many rows does not fill one
+    partition, and a recomputed row lands where it was. Without a number of partitions the
+    session's setting holds and adaptive execution merges small ones; a fixed number such as
+    TRAIN_PARTITIONS suits one size of data only. ``durable`` writes the rows once to the shared
+    checkpoint folder, so that a lost executor costs a read and not the joins behind them. Call
+    ``unpersist`` on the result when done.
     """
-    spread = df.repartition(partitions, key) if partitions else df.repartition(key)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, VectorUDT)]
+    place = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+    spread = df.repartition(partitions, place) if partitions else df.repartition(place)
     if durable:
         shared_folder(df.sparkSession)
         spread = spread.checkpoint(eager=True)

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.operators.ranking import BUCKETS, bucketed, cut_points, running_totals
+from reviewlab.operators.ranking import bucketed, cut_points, running_totals
 
 # Probabilities are kept this far from 0 and 1 before a logarithm is taken.
 EPSILON = 1e-15
@@ -95,7 +95,7 @@ def weighted_prf(
 # -- scores -----------------------------------------------------------------------------------
 
 
-def _class_totals(df: DataFrame, score: str, label: str, buckets: int) -> DataFrame:
+def _class_totals(df: DataFrame, score: str, label: str, buckets: int | None) -> DataFrame:
     """Per distinct score, from the highest down: positives and negatives here and above."""
     rows = df.select(F.col(score).cast("double").alias("score"), F.col(label).alias("y"))
     rows = rows.filter(F.col("score").isNotNull() & F.col("y").isNotNull())
@@ -105,7 +105,7 @@ def _class_totals(df: DataFrame, score: str, label: str, buckets: int) -> DataFr
 
 
 def roc_curve(
-    df: DataFrame, score: str = "score", label: str = "label", buckets: int = BUCKETS
+    df: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, counting rows at or above it."""
     t = _class_totals(df, score, label, buckets)
@@ -117,7 +117,7 @@ def roc_curve(
 
 
 def auc_roc(
-    df: DataFrame, score: str = "score", label: str = "label", buckets: int = BUCKETS
+    df: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """Exact area under the ROC curve; equal scores of the two classes count one half."""
     t = _class_totals(df, score, label, buckets)

@@ -14,11 +14,21 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+# Least number of buckets; a session with more shuffle partitions gets one for each of them.
+MIN_BUCKETS = 256
+MAX_BUCKETS = 10_000
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[list[float]]:
+def bucket_number(df: DataFrame) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(MIN_BUCKETS, partitions), MAX_BUCKETS)
+
+
+def cut_points(
+    df: DataFrame, columns: Sequence[str], buckets: int | None = None
+) -> list[list[float]]:
     """Ascending bucket edges per column, from one approximate-quantile pass."""
+    buckets = buckets or bucket_number(df)
     probabilities = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(list(columns), probabilities, 0.5 / buckets)
     edges = []
@@ -103,7 +113,7 @@ def running_totals(
     sums = per_value.groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
     offsets = bucket_offsets(sums, by, names, descending)
     inside = Window.partitionBy(*group).orderBy(F.desc(value) if descending else F.asc(value))
-    # one row per bucket (and column): at most BUCKETS rows for each of a few columns
+    # one row per bucket (and column): at most MAX_BUCKETS rows for each of a few columns
     joined = per_value.join(F.broadcast(offsets), group)
     return joined.select(
         *by,

@@ -100,7 +100,7 @@ def _inflation(gram: np.ndarray) -> np.ndarray:
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int = 256
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int | None = None
 ) -> DataFrame:
     """Exact interpolated quantiles of each column as (column, p, value).
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.functions.expressions import MONEY_SCALE
 from reviewlab.operators import features as ft
 from reviewlab.operators.cleaning import (
     drop_columns,
@@ -52,8 +53,8 @@ def order_side(orders: DataFrame, as_of=None, history: DataFrame | None = None)
 
 
 def payment_rows(payments: DataFrame, types: Iterable[str]) -> DataFrame:
-    """Payments one by one with total and flags, for the row-grain base table."""
-    featured = ft.one_hot(ft.with_order_total(ft.payment_features(payments)), "payment_type", types)
+    """Complete payments one by one with their flags, for the row-grain base table."""
+    featured = ft.one_hot(ft.payment_features(payments), "payment_type", types)
     return drop_duplicates(drop_nulls(featured))
 
 
@@ -65,6 +66,7 @@ def build_base_table(
     representative_product: bool = False,
     history: DataFrame | None = None,
     keep_helpers: bool = False,
+    money_scale: int | None = MONEY_SCALE,
 ) -> DataFrame:
     """Join orders to their items, payments and (for training) last review; drop incomplete rows.
 
@@ -80,21 +82,28 @@ def build_base_table(
         raise ValueError(f"payment_grain must be 'order' or 'row', not {payment_grain!r}")
     base = order_side(tables.orders, as_of, history)
     profile = ft.order_item_profile(
-        tables.items, clean_products(tables.products), representative_product
+        tables.items, clean_products(tables.products), representative_product, money_scale
     )
     base = base.join(drop_nulls(profile), "order_id", "left")
     if tables.reviews is not None:
         reviews = parse_timestamps(tables.reviews, REVIEW_TIMESTAMPS)
         base = base.join(drop_nulls(ft.latest_review(reviews)), "order_id", "left")
     if payment_grain == "order":
-        payments = ft.payment_order_agg(tables.payments, payment_types)
+        payments = ft.payment_order_agg(tables.payments, payment_types, money_scale)
         payments = payments.withColumn("monetary_value", F.col("total_payment_value"))
         base = base.join(payments, "order_id", "left")
     else:
-        # an order may own very many payments: they are the detail side of a salted join
-        payments = payment_rows(tables.payments, payment_types)
+        # the total joins at order grain, so that the payments are moved for one join only
+        base = base.join(ft.order_totals(tables.payments, money_scale), "order_id", "left")
         base = attach(
-            payments, base, "order_id", spread=["payment_sequential", "payment_value"], how="inner"
+            payment_rows(tables.payments, payment_types),
+            base,
+            "order_id",
+            # an order may own very many payments: they are the detail side of a salted join
+            spread=["payment_sequential", "payment_value"],
+            counts=tables.payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("payments")),
+            n="payments",
+            how="inner",
         )
     base = drop_nulls(base)
     return base if keep_helpers else drop_columns(base, HELPER_COLUMNS)

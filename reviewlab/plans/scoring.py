@@ -15,7 +15,6 @@ def fit_final(
     base: DataFrame,
     name: str = "gbt",
     formula: str = en.FORMULA,
-    key: str = en.KEY,
     durable: bool = True,
     **params,
 ) -> tuple[PipelineModel, Model]:
@@ -23,7 +22,7 @@ def fit_final(
 
     Unknown levels are kept, so that every order with complete features gets a prediction.
     """
-    base = en.stage_for_training(base, key=key, durable=durable)
+    base = en.stage_for_training(base, durable=durable)
     encoder = en.build_stages(formula, "keep").fit(base)
     encoded = encoder.transform(base).select("features", "scaledFeatures", "label").persist()
     model = md.preset(name, **params).fit(encoded)

@@ -42,7 +42,7 @@ def prepare(
     durable: bool = True,
 ) -> Prepared:
     """Split by key, fit the encoder on the training side only, encode and stage both sides."""
-    base = en.stage_for_training(base, partitions, key, durable)
+    base = en.stage_for_training(base, partitions, durable)
     train, test = en.split(base, key=key)
     encoder = en.build_stages(formula, handle_invalid).fit(train)
     columns = [key, "features", "scaledFeatures", "label"]
