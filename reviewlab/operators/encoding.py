@@ -15,6 +15,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.storagelevel import StorageLevel
 
 from reviewlab.functions.expressions import key_bucket
@@ -29,6 +30,9 @@ SPLIT_SEED = 123
 SELECTED_FEATURES = 15
 TRAIN_PARTITIONS = 15
 
+# Levels of one text column that an encoder of the training plan holds at most.
+MAX_LEVELS = 10_000
+
 # A split is decided in steps of one ten-thousandth.
 HASH_BUCKETS = 10_000
 
@@ -122,7 +126,7 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
 
 
 def cap_levels(
-    df: DataFrame, column: str, max_levels: int, other: str = "other"
+    df: DataFrame, column: str, max_levels: int, other: str | None = "other"
 ) -> DataFrame:
     """Keep the most frequent levels and call all rarer ones ``other``; no row is lost."""
     kept = (
@@ -135,10 +139,23 @@ def cap_levels(
     )
     # max_levels rows: the bound of what is broadcast
     joined = df.join(F.broadcast(kept), column, "left")
-    level = F.when(F.col("_kept") | F.col(column).isNull(), F.col(column)).otherwise(other)
+    level = F.when(F.col("_kept") | F.col(column).isNull(), F.col(column)).otherwise(F.lit(other))
     return joined.withColumn(column, level).select(*df.columns)
 
 
+def bound_levels(df: DataFrame, max_levels: int = MAX_LEVELS, key: str = KEY) -> DataFrame:
+    """Let each text column but the key keep its ``max_levels`` most frequent levels.
+
+    An encoder's levels are part of the model and pass through the driver. Rarer ones become
+    null, which an encoder that keeps unknown levels turns into all zeros, just as it does with
+    levels that first occur at scoring.
+    """
+    for field in df.schema.fields:
+        if isinstance(field.dataType, StringType) and field.name != key:
+            df = cap_levels(df, field.name, max_levels, other=None)
+    return df
+
+
 # -- rows -------------------------------------------------------------------------------------
 
 

@@ -15,7 +15,9 @@ def fit_final(
     base: DataFrame,
     name: str = "gbt",
     formula: str = en.FORMULA,
+    key: str = en.KEY,
     durable: bool = True,
+    max_levels: int = en.MAX_LEVELS,
     **params,
 ) -> tuple[PipelineModel, Model]:
     """Fit encoder and classifier on all labelled rows.
@@ -23,8 +25,9 @@ def fit_final(
     Unknown levels are kept, so that every order with complete features gets a prediction.
     """
     base = en.stage_for_training(base, durable=durable)
-    encoder = en.build_stages(formula, "keep").fit(base)
-    encoded = encoder.transform(base).select("features", "scaledFeatures", "label").persist()
+    labelled = en.bound_levels(base, max_levels, key)
+    encoder = en.build_stages(formula, "keep").fit(labelled)
+    encoded = encoder.transform(labelled).select("features", "scaledFeatures", "label").persist()
     model = md.preset(name, **params).fit(encoded)
     encoded.unpersist()
     base.unpersist()

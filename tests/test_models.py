@@ -143,3 +143,12 @@ def test_encoder_is_fitted_on_the_training_side(base):
     known = "category_only here" in en.feature_names(prepared.train)
     prepared.release()
     assert known != held_out
+
+
+def test_rare_levels_count_as_unknown(base):
+    prepared = tr.prepare(base, durable=False, max_levels=1)
+    names = en.feature_names(prepared.train)
+    sizes = prepared.train.count(), prepared.test.count()
+    prepared.release()
+    assert len([n for n in names if n.startswith("category_")]) == 1
+    assert sum(sizes) == base.count()
