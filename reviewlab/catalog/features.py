@@ -27,7 +27,10 @@ def rounded(df: DataFrame) -> DataFrame:
 # -- products, orders, items ------------------------------------------------------------------
 
 
-@query("product_features", with_roles("products", "product_features") + "select * from product_features")
+@query(
+    "product_features",
+    with_roles("products", "product_features") + "select * from product_features",
+)
 def product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ft.product_features(A.products(spark, sf_dir))
 

@@ -143,7 +143,8 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = lines.agg(money_total("l_extendedprice")).scalar()
     revenue = money_total("l_extendedprice") / total
     by_type = joined.groupBy(F.concat(F.lit("category_"), "p_type").alias("feature"))
-    by_size = joined.groupBy(F.concat(F.lit("size_"), F.col("p_size").cast("string")).alias("feature"))
+    size = F.concat(F.lit("size_"), F.col("p_size").cast("string"))
+    by_size = joined.groupBy(size.alias("feature"))
     return by_type.agg(revenue.alias("importance")).unionAll(
         by_size.agg(revenue.alias("importance"))
     )

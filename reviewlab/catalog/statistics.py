@@ -31,6 +31,29 @@ def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("value", F.round("value", 6))
 
 
+@query(
+    "quartiles",
+    with_roles("items")
+    + "select "
+    + ", ".join(
+        f"round(quantile_cont({c}, {p}), 6) as {c}_q{i}"
+        for c in MEASURES
+        for i, p in ((1, 0.25), (3, 0.75))
+    )
+    + " from items",
+)
+def quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both quartiles of each measure as one row."""
+    found = st.quantiles(A.items(spark, sf_dir), MEASURES, [0.25, 0.75])
+    cells = [
+        F.round(F.max(F.when((F.col("column") == c) & (F.col("p") == p), F.col("value"))), 6)
+        .alias(f"{c}_q{i}")
+        for c in MEASURES
+        for i, p in ((1, 0.25), (3, 0.75))
+    ]
+    return found.agg(*cells)
+
+
 @query("quartiles_approx")
 def quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate quartiles, with the share of rows at or below them as found in the data."""

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from reviewlab.catalog.registry import query
 from reviewlab.catalog.roles_sql import with_roles
+from reviewlab.functions.expressions import money_total
 from reviewlab.operators import profiling as pr
+from reviewlab.operators.joins import attach
 from reviewlab.session import scratch_path
 from reviewlab.sources import adapters as A
 from reviewlab.sources.schemas import ORDERS
@@ -116,13 +118,12 @@ def sort_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
        group by p_type, p_brand order by revenue desc, p_type, p_brand limit 10""",
 )
 def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from reviewlab.functions.expressions import money_total
-    from reviewlab.operators.joins import attach
-
     lines = A.load(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_extendedprice"
     )
     parts = A.load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     joined = attach(lines, parts, "p_partkey", ["l_orderkey"], how="inner")
-    revenue = joined.groupBy("p_type", "p_brand").agg(money_total("l_extendedprice").alias("revenue"))
+    revenue = joined.groupBy("p_type", "p_brand").agg(
+        money_total("l_extendedprice").alias("revenue")
+    )
     return pr.top_k(revenue, "revenue", 10, ["p_type", "p_brand"])

@@ -29,6 +29,9 @@ CLASSIFIERS = {
 # Linear models get the scaled vector; trees do not care and keep the readable one.
 FEATURES_COLUMN = {"lr": "scaledFeatures", "svm": "scaledFeatures"}
 
+# Trees of this depth or more are fitted with remembered node numbers.
+DEEP = 15
+
 # Parameters of the single fits.
 PRESETS = {
     "lr": {},
@@ -64,7 +67,15 @@ def classifier(name: str, features: str | None = None, **params) -> Estimator:
 
 
 def preset(name: str, features: str | None = None, **overrides) -> Estimator:
-    return classifier(name, features, **{**PRESETS[name], **overrides})
+    """The named classifier with its preset parameters, any of them overridden.
+
+    Deep trees remember each row's node instead of walking the tree again at every level; with a
+    checkpoint folder Spark cuts the lineage of these numbers now and then.
+    """
+    params = {**PRESETS[name], **overrides}
+    if params.get("maxDepth", 0) >= DEEP:
+        params.setdefault("cacheNodeIds", True)
+    return classifier(name, features, **params)
 
 
 def grid(estimator: Estimator, values: dict[str, list]) -> list[dict]:

@@ -56,9 +56,7 @@ def prepare(
     return Prepared(encoded_train, encoded_test, encoder)
 
 
-def train_and_evaluate(
-    data: Prepared, name: str, key: str = en.KEY, **params
-) -> Trained:
+def train_and_evaluate(data: Prepared, name: str, key: str = en.KEY, **params) -> Trained:
     """Fit one classifier (preset parameters unless overridden) and measure it on the test side."""
     model = md.preset(name, **params).fit(data.train)
     scored = md.score(model, data.test, key)
@@ -67,6 +65,8 @@ def train_and_evaluate(
 
 def compare(data: Prepared, specs: dict[str, dict], key: str = en.KEY) -> DataFrame:
     """Train several classifiers on the same split: (model, metric, value)."""
-    return compare_models(
-        {name: train_and_evaluate(data, name, key, **params).metrics for name, params in specs.items()}
-    )
+    reports = {
+        name: train_and_evaluate(data, name, key, **params).metrics
+        for name, params in specs.items()
+    }
+    return compare_models(reports)
