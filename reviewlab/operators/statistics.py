@@ -100,7 +100,10 @@ def _inflation(gram: np.ndarray) -> np.ndarray:
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles of each column as (column, p, value).
 
@@ -166,9 +169,7 @@ def fences(
     return out
 
 
-def iqr_outliers(
-    df: DataFrame, column: str, error: float = 0.0, k: float = 0.0
-) -> DataFrame:
+def iqr_outliers(df: DataFrame, column: str, error: float = 0.0, k: float = 0.0) -> DataFrame:
     """The rows whose value lies outside the fences (k=0: outside the quartiles)."""
     limits = fences(df, [column], error, k)
     if not limits:
