@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,27 +38,25 @@ def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return drop_nulls(df.select([F.col(c).cast("double").alias(c) for c in columns]))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair as (row, col, r); rows with a null are left out.
+def _pearson(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """The k x k correlation matrix; Spark adds it up over the partitions, block by block.
 
-    All pairs are measured in one pass, with running moments that do not lose digits to large
-    means; nothing is cached or brought to the driver.
+    The vectors are kept for the few passes that takes, so what built them runs once.
     """
-    names = list(columns)
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    row = _doubles(df, names).agg(
-        *[F.corr(names[i], names[j]).alias(f"r{i}_{j}") for i, j in pairs]
-    )
+    vectors = _doubles(df, columns).select(array_to_vector(F.array(*columns)).alias("v")).persist()
+    try:
+        return Correlation.corr(vectors, "v").head()[0].toArray()
+    finally:
+        vectors.unpersist()
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair as (row, col, r); rows with a null are left out."""
+    matrix = _pearson(df, columns)
     cells = [
-        F.struct(
-            F.lit(a).alias("row"),
-            F.lit(b).alias("col"),
-            F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"),
-        )
-        for i, a in enumerate(names)
-        for j, b in enumerate(names)
+        (a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
     ]
-    return row.select(F.inline(F.array(*cells)))
+    return df.sparkSession.createDataFrame(cells, "row string, col string, r double")
 
 
 def vif(df: DataFrame, columns: Sequence[str], center: bool = False) -> DataFrame:
@@ -64,28 +64,29 @@ def vif(df: DataFrame, columns: Sequence[str], center: bool = False) -> DataFram
 
     Each column is regressed on the others without an intercept, so the factor is the diagonal
     of the inverse cosine matrix. With ``center`` it is that of the correlation matrix, the
-    textbook factor. The k(k+1)/2 numbers come from one pass; the k x k inverse is local.
+    textbook factor. The matrix is added up by Spark; only its k x k inverse is local.
     A constant column counts like any other and is not taken for an intercept.
     """
     names = list(columns)
-    k = len(names)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    pair = F.corr if center else lambda a, b: F.sum(F.col(a) * F.col(b))
-    row = (
-        _doubles(df, names)
-        .agg(*[pair(names[i], names[j]).alias(f"p{i}_{j}") for i, j in pairs])
-        .head()
-    )
-    gram = np.empty((k, k))
-    for i, j in pairs:
-        cell = row[f"p{i}_{j}"]
-        gram[i, j] = gram[j, i] = np.nan if cell is None else cell
+    gram = _pearson(df, names) if center else _products(df, names)
     report = df.sparkSession.createDataFrame(
         [(c, float(v)) for c, v in zip(names, _inflation(gram))], "feature string, vif double"
     )
     return report.orderBy(F.desc("vif"), "feature")
 
 
+def _products(df: DataFrame, names: Sequence[str]) -> np.ndarray:
+    """Sums of the products of every pair of columns, from one pass."""
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    sums = [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"p{i}_{j}") for i, j in pairs]
+    row = _doubles(df, names).agg(*sums).head()
+    gram = np.full((len(names), len(names)), np.nan)
+    for i, j in pairs:
+        if row[f"p{i}_{j}"] is not None:
+            gram[i, j] = gram[j, i] = row[f"p{i}_{j}"]
+    return gram
+
+
 def _inflation(gram: np.ndarray) -> np.ndarray:
     with np.errstate(invalid="ignore", divide="ignore"):
         scale = np.sqrt(np.diag(gram))
