@@ -38,7 +38,9 @@ NONE = len(KINDS)
 LABELS = NONE + 1
 SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 ARROW_SPAN = pa.list_(
-    pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
+    pa.struct(
+        [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]
+    )
 )
 
 # The base patterns. Possessive quantifiers and look-behinds keep them linear; they
@@ -59,7 +61,8 @@ SAME_DIGITS = 7
 DAMAGED = 0.4
 ROUNDS = 12
 CLAMP = 50.0
-# Names of the features; words before a mention are hashed.
+# Numbers of the features; words before a mention are hashed.
+WITH_AT, WITHOUT_AT = 1, 2
 WORD_BUCKETS = 32
 SHAPES = 18
 
@@ -143,7 +146,7 @@ def features(text: str, start: int, end: int) -> list[int]:
     word = text[max(0, start - 24) : start].split()
     shape = [
         0,
-        1 if "@" in m else 2,
+        WITH_AT if "@" in m else WITHOUT_AT,
         3 if m[:1] == "+" else 4,
         5 if "(" in m else 6,
         7 if m.count(".") == 3 else 8,
@@ -158,8 +161,14 @@ def features(text: str, start: int, end: int) -> list[int]:
 def damage(text: str, start: int, end: int, kind: int) -> list[int]:
     """Features of a mention as it would look when no base pattern finds it."""
     m = text[start:end]
-    broken = {0: m.replace(".", " "), 1: m + ".", 2: m[:-1] + str((int(m[-1]) + 1) % 10) if kind == 2 else m,
-              3: m.lstrip("+").replace("(", "").replace(")", "")}[kind]
+    if kind == 0:
+        broken = m.replace(".", " ")
+    elif kind == 1:
+        broken = m + "."
+    elif kind == 2:
+        broken = m[:-1] + str((int(m[-1]) + 1) % 10)
+    else:
+        broken = m.lstrip("+").replace("(", "").replace(")", "")
     return features(text[:start][-24:] + broken, min(start, 24), min(start, 24) + len(broken))
 
 
@@ -277,7 +286,8 @@ def examples(text: str) -> list[tuple[list[int], int, list[int], list[int]]]:
         near[j][skip].append(labels[i])
     out = []
     for i, (start, end, label) in enumerate(nodes):
-        hidden = label >= 0 and zlib.crc32(f"{start}:{end}:{len(text)}".encode()) % 100 < 100 * DAMAGED
+        draw = zlib.crc32(f"{start}:{end}:{len(text)}".encode()) % 100
+        hidden = label >= 0 and draw < 100 * DAMAGED
         shape = damage(text, start, end, label) if hidden else features(text, start, end)
         chain, skip = near[i]
         if label < 0 and any(k != NONE for k in skip):
@@ -310,6 +320,8 @@ def learn(rows: list[tuple[list[int], int, list[int], list[int]]], steps: int =
         momentum = 0.9 * momentum + gradient
         w -= 0.5 * momentum
     chain, skip = w[:, wide : wide + LABELS], w[:, wide + LABELS :]
+    w[0, WITHOUT_AT] -= CLAMP  # an address has an @, and nothing else does
+    w[1:NONE, WITH_AT] -= CLAMP
     # an edge has one potential for both directions
     return Field(w[:, :wide], (chain + chain.T) / 2, (skip + skip.T) / 2)
 
