@@ -14,9 +14,11 @@ Counting. For candidate pairs the global order is cut into a few vertical partit
 the pairs' partial overlaps on its own, and the counts are summed per pair.
 
 Groups of copies. Equal sets are one node. Documents that meet in a fragment are first compared
-with the smallest node there, not with each other; connected components follow; then only pairs
-of nodes in different components that meet somewhere are compared, so no group is expanded into
-all its pairs and no link between components is lost.
+with the most central node there, not with each other; connected components follow; then only
+pairs of nodes in different components that meet somewhere are left: first the most similar pair of
+every two components is compared, then those that are still apart. So a group isn't compared pair
+by pair, and no link between components is lost. Parity sketches, which bound from below in how
+many n-grams two sets differ, drop pairs before they are made and before sets are sent.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing;
 fewer words than n make one n-gram; rows repeated in full, or several texts under one key, are one
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.llm.arrays import flat_text, mix, slices, spread
-from reviewlab.llm.frames import components, shipped, written
+from reviewlab.llm.frames import components, shipped, small, written
 
 PARTITIONS = 8
 # Sizes of a class span this factor.
@@ -42,6 +44,8 @@ CLASS_FACTOR = 1.7
 # Bits of a parity sketch, kept as 64-bit words.
 BITS = 512
 SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
+# Bits of the wide sketch that candidate pairs are compared by before their sets are.
+WIDE_BITS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SEPARATOR = np.zeros(256, bool)
@@ -154,12 +158,13 @@ class Cuts:
         return np.concatenate(out)
 
 
-def sketch_of(grams: np.ndarray) -> np.ndarray:
+def sketch_of(grams: np.ndarray, width: int = BITS) -> np.ndarray:
     """One bit per residue of the hashes: whether it occurs an odd number of times.
 
     Two sets differ in at least as many n-grams as their sketches differ in bits.
     """
-    bits = np.bincount((mix(grams) >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
+    place = (mix(grams) >> np.uint64(40)).astype(np.int64) % width
+    bits = np.bincount(place, minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -253,18 +258,44 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
     return df.select("node", "text").mapInArrow(emit, "node bigint, part int, grams array<bigint>")
 
 
+def wide_sketches(df: DataFrame, n: int) -> DataFrame:
+    """(node, wide) of (node, text) rows."""
+
+    @F.arrow_udf("array<bigint>")
+    def wide(column: pa.Array) -> pa.Array:
+        words = [sketch_of(grams, WIDE_BITS) for grams in ngram_sets(column, n)]
+        at = pa.array(np.arange(len(words) + 1) * (WIDE_BITS // 64), pa.int32())
+        return pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.zeros(0, np.int64), *words])))
+
+    return df.select("node", wide(F.col("text")).alias("wide")).dropDuplicates(["node"])
+
+
+def close(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that differ in few enough bits of their wide sketches; no link is lost."""
+    wide = written(wide_sketches(texts, n), "wide")
+    for i in "ab":
+        pairs = pairs.join(wide.select(F.col("node").alias(i), F.col("wide").alias(f"wide_{i}")), i)
+    bits = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, k: total + k)
+    least = F.least("size_a", "size_b")
+    near = pairs.filter(percent * differ <= (100 - percent) * least)
+    return written(near.select("a", "b", "size_a", "size_b"), "close")
+
+
 def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The (a, b) pairs of nodes whose sets are similar enough.
 
     ``pairs`` has a, b and their set sizes size_a, size_b; ``texts`` one (node, text) per node.
     """
-    parts = written(partitions(texts, n).filter(F.size("grams") > 0), "parts")
-    left = parts.select(F.col("node").alias("a"), "part", F.col("grams").alias("x"))
-    right = parts.select(F.col("node").alias("b"), "part", F.col("grams").alias("y"))
+    pairs = close(pairs, texts, n, percent)
+    parts = partitions(texts, n).filter(F.size("grams") > 0)
+    # sets go straight to the partition of a, once for every pair and once for a itself
+    left = parts.withColumnsRenamed({"node": "a", "grams": "x"})
+    left = left.join(small(pairs.select("a").distinct()), "a", "left_semi")
+    right = parts.withColumnsRenamed({"node": "b", "grams": "y"}).join(small(pairs), "b")
     overlap = F.size(F.array_intersect("x", "y"))
     return (
-        pairs.join(left, "a")
-        .join(right, ["b", "part"])
+        right.join(left, ["a", "part"])
         .groupBy("a", "b", "size_a", "size_b", "part")
         .agg(F.max(overlap).alias("both"))  # a text may be there twice, in repeated rows
         .groupBy("a", "b", "size_a", "size_b")
@@ -322,12 +353,29 @@ def groups(
     on = (x["signature"] == y["signature"]) & apart & _near(percent)
     second = (
         x.join(y, on)
-        .select("a", "b", "size_a", "size_b")
-        .distinct()
+        .groupBy("a", "b", "size_a", "size_b", "component_a", "component_b")
+        .agg(F.first(_differ()).alias("differ"))
         .join(first, ["a", "b"], "left_anti")
     )
     second = written(second, "pairs")
-    links = links.union(linked(second, _texts(rows, own, second), n, percent))
+    # of every two components the most similar pair, as one link joins them
+    best = second.groupBy(
+        F.least("component_a", "component_b").alias("x"),
+        F.greatest("component_a", "component_b").alias("y"),
+    ).agg(F.min_by(F.struct("a", "b", "size_a", "size_b"), F.struct("differ", "a", "b")).alias("p"))
+    best = written(best.select("p.*"), "best")
+    links = written(links.union(linked(best, _texts(rows, own, best), n, percent)), "links")
+    # at last all that are still apart
+    part_of = components(links)
+    apart = second.join(best, ["a", "b"], "left_anti").select("a", "b", "size_a", "size_b")
+    for i in "ab":
+        side = part_of.select(F.col("node").alias(i), F.col("component").alias(f"component_{i}"))
+        apart = apart.join(side, i, "left")
+    apart = apart.filter(
+        F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
+    ).select("a", "b", "size_a", "size_b")
+    apart = written(apart, "apart")
+    links = links.union(linked(apart, _texts(rows, own, apart), n, percent))
     return labelled(own, links, key)
 
 
@@ -365,16 +413,21 @@ def labelled(own: DataFrame, links: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _differ() -> Column:
+    """In how many bits the sketches of a pair differ."""
+    bits = [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in SKETCH]
+    return sum(bits[1:], bits[0])
+
+
 def _near(percent: int) -> Column:
     """Whether sizes and sketches of a pair allow a link; exact, as both only give bounds."""
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    bits = [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in SKETCH]
-    differ = sum(bits[1:], bits[0])
-    return (100 * least >= percent * most) & (percent * differ <= (100 - percent) * least)
+    return (100 * least >= percent * most) & (percent * _differ() <= (100 - percent) * least)
 
 
 def _texts(rows: DataFrame, own: DataFrame, pairs: DataFrame) -> DataFrame:
     """One text for every node of a pair."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
     keys = own.join(nodes.distinct(), "node").groupBy("node").agg(F.min("key").alias("key"))
-    return rows.join(keys, "key")
+    keys = written(keys, "keys")
+    return rows.join(small(keys), "key")
