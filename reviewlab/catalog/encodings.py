@@ -169,12 +169,12 @@ def cap_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bucket_sql(key: str, seed: int) -> str:
-    return f"cast('0x' || substr(md5('{seed}|' || {key}), 1, 8) as bigint) % 10000"
+    return f"cast('0x' || substr(md5('{seed}|' || {key}), 1, 8) as bigint) % 4294967296"
 
 
 @query(
     "hash_split",
-    f"""select o_orderkey, case when {_bucket_sql("o_orderkey", 123)} < 7000
+    f"""select o_orderkey, case when {_bucket_sql("o_orderkey", 123)} < 3006477107
         then 'train' else 'test' end as part from orders""",
 )
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +188,7 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "hash_sample",
     f"""select o_orderkey, o_totalprice from orders
-        where {_bucket_sql("o_orderkey", 42)} < 5000""",
+        where {_bucket_sql("o_orderkey", 42)} < 2147483648""",
 )
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money has at most this many decimals. Summing it in whole units of 10**-4 gives the same
-# total whatever order the partitions arrive in, at the price of a long addition.
-MONEY_SCALE = 4
+# Amounts are summed as decimals with this many places, which gives the same total whatever order
+# the partitions arrive in.
+MONEY_SCALE = 10
 
 
 def as_col(c: str | Column) -> Column:
@@ -20,18 +20,21 @@ def ratio(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def money_units(c: str | Column, scale: int = MONEY_SCALE) -> Column:
-    return F.rint(as_col(c) * F.lit(float(10**scale))).cast("long")
+    """The amount as a decimal; null where it is no number."""
+    return as_col(c).try_cast(f"decimal(28,{scale})")
 
 
 def money_total(c: str | Column, scale: int | None = MONEY_SCALE) -> Column:
     """Sum of a money column as double; exact unless ``scale`` is None."""
     if scale is None:
         return F.sum(as_col(c))
-    return F.sum(money_units(c, scale)) / F.lit(float(10**scale))
+    return F.sum(money_units(c, scale)).cast("double")
 
 
 def money_mean(c: str | Column, scale: int | None = MONEY_SCALE) -> Column:
-    return F.avg(as_col(c)) if scale is None else money_total(c, scale) / F.count(as_col(c))
+    if scale is None:
+        return F.avg(as_col(c))
+    return F.try_divide(money_total(c, scale), F.count(money_units(c, scale)))
 
 
 def days_between(end: str | Column, start: str | Column) -> Column:
@@ -67,4 +70,5 @@ def key_bucket(*keys: str | Column, buckets: int = 100, seed: int = 0) -> Column
     partition always gets the same answer.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[as_col(k).cast("string") for k in keys])
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets).cast("int")
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
+    return bucket.cast("int") if buckets < 2**31 else bucket

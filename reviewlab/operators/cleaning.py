@@ -46,6 +46,13 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One whole row per key, the greatest by all its columns, whatever order the rows come in."""
+    rest = [c for c in df.columns if c != key]
+    greatest = df.groupBy(key).agg(F.max(F.struct(*rest)).alias("row"))
+    return greatest.select(*(c if c == key else F.col("row")[c].alias(c) for c in df.columns))
+
+
 def parse_timestamps(
     df: DataFrame, columns: Iterable[str], fmt: str = TIMESTAMP_FORMAT
 ) -> DataFrame:

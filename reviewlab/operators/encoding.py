@@ -30,11 +30,8 @@ SPLIT_SEED = 123
 SELECTED_FEATURES = 15
 TRAIN_PARTITIONS = 15
 
-# Levels of one text column that an encoder of the training plan holds at most.
-MAX_LEVELS = 10_000
-
-# A split is decided in steps of one ten-thousandth.
-HASH_BUCKETS = 10_000
+# A split is decided over the whole range of a 32-bit hash.
+HASH_BUCKETS = 1 << 32
 
 
 # -- vectors ----------------------------------------------------------------------------------
@@ -143,7 +140,7 @@ def cap_levels(
     return joined.withColumn(column, level).select(*df.columns)
 
 
-def bound_levels(df: DataFrame, max_levels: int = MAX_LEVELS, key: str = KEY) -> DataFrame:
+def bound_levels(df: DataFrame, max_levels: int, key: str = KEY) -> DataFrame:
     """Let each text column but the key keep its ``max_levels`` most frequent levels.
 
     An encoder's levels are part of the model and pass through the driver. Rarer ones become

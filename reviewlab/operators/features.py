@@ -29,7 +29,6 @@ from reviewlab.operators.joins import attach
 # Payment types that get a flag of their own.
 PAYMENT_TYPES = ["mobile", "credit_card", "voucher", "debit_card"]
 # Flags become columns, so a list learnt from data must stay a short one.
-MAX_LEARNT_TYPES = 1_000
 
 
 # -- products ---------------------------------------------------------------------------------
@@ -252,10 +251,11 @@ def one_hot(
     return df.select("*", *flags)
 
 
-def learn_values(df: DataFrame, column: str, limit: int = MAX_LEARNT_TYPES) -> list[str]:
-    """The sorted distinct values of a short category column; an error if it is not short."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+def learn_values(df: DataFrame, column: str, limit: int | None = None) -> list[str]:
+    """The sorted distinct values of a category column; an error above ``limit``, if given."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    rows = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"{column} has more than {limit} values")
     return sorted(r[0] for r in rows)
 

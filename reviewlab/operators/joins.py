@@ -12,12 +12,13 @@ HOT_ROWS = 1_000_000
 # Number of hot keys looked for. A key outside the largest 10,000 holds less than one
 # ten-thousandth of the rows, so this bounds what is broadcast and not what is joined.
 MAX_HOT_KEYS = 10_000
-MAX_SALTS = 1_000
+# Rows without a key match nothing, so they may be spread over as many salts as there are numbers.
+NULL_SALTS = 2**31 - 1
 
 
 def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(key, number of salts) of the largest keys: at most MAX_HOT_KEYS rows."""
-    salts = F.least(F.ceil(F.col(n) / F.lit(hot_rows)) + 1, F.lit(MAX_SALTS))
+    salts = F.ceil(F.col(n) / F.lit(hot_rows)) + 1
     return (
         counts.filter((F.col(n) >= hot_rows) & F.col(key).isNotNull())
         .orderBy(F.desc(n), key)
@@ -52,7 +53,7 @@ def attach(
         detail.join(F.broadcast(hot), key, "left")
         .withColumn(
             "_salt",
-            F.when(F.col(key).isNull(), F.pmod(piece, F.lit(MAX_SALTS)))
+            F.when(F.col(key).isNull(), F.pmod(piece, F.lit(NULL_SALTS)))
             .when(F.col("_salts").isNotNull(), F.pmod(piece, F.col("_salts")))
             .otherwise(F.lit(0))
             .cast("int"),

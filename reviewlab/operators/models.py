@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.operators.encoding import feature_names
+from reviewlab.operators.encoding import feature_names, with_fold
 
 CLASSIFIERS = {
     "lr": LogisticRegression,
@@ -109,19 +109,27 @@ def tune(
     fold_column: str | None = "fold",
     parallelism: int = 4,
     score_column: str = "rawPrediction",
+    key: str = "order_id",
     **fixed,
 ) -> CrossValidatorModel:
     """Grid search by cross-validated area under ROC.
 
-    ``fold_column`` (see ``with_fold``) keeps the rows of a key in one fold; grid points of a
-    fold are fitted ``parallelism`` at a time.
+    ``fold_column`` keeps the rows of a key in one fold; it is computed here for the number of
+    folds where ``train`` has the key. Grid points of a fold are fitted ``parallelism`` at a time.
     """
-    estimator = classifier(name, features, **fixed)
+    folds = folds or FOLDS[name]
+    if fold_column and key in train.columns:
+        train = with_fold(train.drop(fold_column), folds, key).withColumnRenamed("fold", fold_column)
+    values = values or GRIDS[name]
+    kept = {"seed": PRESETS[name]["seed"]} if "seed" in PRESETS[name] else {}
+    if max(values.get("maxDepth", [0])) >= DEEP:
+        kept["cacheNodeIds"] = True
+    estimator = classifier(name, features, **{**kept, **fixed})
     search = CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=grid(estimator, values or GRIDS[name]),
+        estimatorParamMaps=grid(estimator, values),
         evaluator=evaluator(score_column),
-        numFolds=folds or FOLDS[name],
+        numFolds=folds,
         parallelism=parallelism,
         seed=42,
     )

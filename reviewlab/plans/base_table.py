@@ -13,6 +13,7 @@ from reviewlab.operators.cleaning import (
     drop_columns,
     drop_duplicates,
     drop_nulls,
+    one_per_key,
     parse_timestamps,
 )
 from reviewlab.operators.joins import attach
@@ -40,11 +41,11 @@ HELPER_COLUMNS = [
 
 
 def clean_products(products: DataFrame) -> DataFrame:
-    return drop_duplicates(drop_nulls(ft.product_features(products)))
+    return one_per_key(drop_nulls(ft.product_features(products)), "product_id")
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
-    return drop_duplicates(drop_nulls(parse_timestamps(orders, ORDER_TIMESTAMPS)))
+    return one_per_key(drop_nulls(parse_timestamps(orders, ORDER_TIMESTAMPS)), "order_id")
 
 
 def order_side(orders: DataFrame, as_of=None, history: DataFrame | None = None) -> DataFrame:
@@ -75,21 +76,25 @@ def build_base_table(
     describes an order by one product. ``keep_helpers`` leaves the columns that the correlation
     report needs and the models must not see.
 
-    The orders are distinct rows and each meets at most one row per side, so the joined rows are
-    distinct as well and are not compared once more.
+    There is one row per order id and per product id, and incomplete items and payments are left
+    out before they are summed, so repeated keys and NaN amounts change no other order.
     """
     if payment_grain not in ("order", "row"):
         raise ValueError(f"payment_grain must be 'order' or 'row', not {payment_grain!r}")
     base = order_side(tables.orders, as_of, history)
     profile = ft.order_item_profile(
-        tables.items, clean_products(tables.products), representative_product, money_scale
+        drop_nulls(tables.items),
+        clean_products(tables.products),
+        representative_product,
+        money_scale,
     )
     base = base.join(drop_nulls(profile), "order_id", "left")
     if tables.reviews is not None:
         reviews = parse_timestamps(tables.reviews, REVIEW_TIMESTAMPS)
         base = base.join(drop_nulls(ft.latest_review(reviews)), "order_id", "left")
     if payment_grain == "order":
-        payments = ft.payment_order_agg(tables.payments, payment_types, money_scale)
+        complete = drop_nulls(tables.payments)
+        payments = ft.payment_order_agg(complete, payment_types, money_scale)
         payments = payments.withColumn("monetary_value", F.col("total_payment_value"))
         base = base.join(payments, "order_id", "left")
     else:

@@ -17,7 +17,7 @@ def fit_final(
     formula: str = en.FORMULA,
     key: str = en.KEY,
     durable: bool = True,
-    max_levels: int = en.MAX_LEVELS,
+    max_levels: int | None = None,
     **params,
 ) -> tuple[PipelineModel, Model]:
     """Fit encoder and classifier on all labelled rows.
@@ -25,7 +25,7 @@ def fit_final(
     Unknown levels are kept, so that every order with complete features gets a prediction.
     """
     base = en.stage_for_training(base, durable=durable)
-    labelled = en.bound_levels(base, max_levels, key)
+    labelled = base if max_levels is None else en.bound_levels(base, max_levels, key)
     encoder = en.build_stages(formula, "keep").fit(labelled)
     encoded = encoder.transform(labelled).select("features", "scaledFeatures", "label").persist()
     model = md.preset(name, **params).fit(encoded)

@@ -40,12 +40,16 @@ def prepare(
     handle_invalid: str = "keep",
     partitions: int | None = None,
     durable: bool = True,
-    max_levels: int = en.MAX_LEVELS,
+    max_levels: int | None = None,
 ) -> Prepared:
-    """Split by key, fit the encoder on the training side only, encode and stage both sides."""
+    """Split by key, fit the encoder on the training side only, encode and stage both sides.
+
+    Every level of a text column is encoded, unless the caller bounds them by ``max_levels``.
+    """
     base = en.stage_for_training(base, partitions, durable)
     train, test = en.split(base, key=key)
-    train = en.bound_levels(train, max_levels, key)
+    if max_levels is not None:
+        train = en.bound_levels(train, max_levels, key)
     encoder = en.build_stages(formula, handle_invalid).fit(train)
     columns = [key, "features", "scaledFeatures", "label"]
     encoded_train = en.with_fold(encoder.transform(train).select(*columns), folds, key).persist()

@@ -101,3 +101,8 @@ def test_stage_for_training(rows):
     staged = en.stage_for_training(rows.drop("seen"), partitions=15)
     assert staged.rdd.getNumPartitions() == 15 and staged.count() == 600
     staged.unpersist()
+
+
+def test_small_samples_are_not_empty(spark):
+    keys = spark.range(1_000_000).withColumnRenamed("id", "order_id")
+    assert 10 <= en.hash_sample(keys, 0.00004).count() <= 90

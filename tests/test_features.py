@@ -173,3 +173,14 @@ def test_reviews(spark):
     assert labels == {"r1": 0, "r2": 1, "r3": 1, "r4": 0, "r5": None}
     latest = {r.review_id: r.latest_timestamp for r in ft.with_latest_timestamp(reviews).collect()}
     assert latest["r1"] == at(2024, 1, 3, 12) and len(latest) == 5
+
+
+def test_money_keeps_small_amounts_and_leaves_out_nan(spark):
+    rows_ = [("o", 1, "p", 10.00004, 0.0), ("o", 2, "p", 10.00004, 0.0), ("n", 1, "p", float("nan"), 1.0)]
+    items = spark.createDataFrame(
+        rows_, "order_id string, order_item_id int, product_id string, price double, shipping_cost double"
+    )
+    got = {r.order_id: r for r in ft.item_order_agg(ft.item_features(items)).collect()}
+    assert got["o"].total_price == 20.00008
+    assert got["o"].avg_price >= got["o"].min_price
+    assert got["n"].total_price is None
