@@ -57,8 +57,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = None
-    while True:
+    while not _stars(edges):
         # large star: hang the larger neighbours of a node on its smallest neighbour
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -80,9 +79,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct(),
             "small-star",
         )
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other that hangs on none, as it is at the end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"))
+    )
+    ups = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return ups.filter("ups > 1 or (ups = 1 and least = 0)").isEmpty()
+
+
+def merged(parts: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """The (node, component) table ``parts`` of all nodes after more links between them.
+
+    Only the components that the links lead to are worked on, as nodes of a smaller graph.
+    """
+    for i in (a, b):
+        side = parts.select(F.col("node").alias(i), F.col("component").alias(f"component_{i}"))
+        links = links.join(side, i)
+    into = components(links, f"component_{a}", f"component_{b}")
+    into = into.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    done = parts.join(into, "component", "left")
+    return written(done.select("node", F.coalesce("into", "component").alias("component")), "parts")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.llm.arrays import flat_text, mix, slices, spread
-from reviewlab.llm.frames import components, shipped, small, written
+from reviewlab.llm.frames import merged, shipped, small, written
 
 PARTITIONS = 8
 # Sizes of a class span this factor.
@@ -282,11 +282,16 @@ def close(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame
     return written(near.select("a", "b", "size_a", "size_b"), "close")
 
 
-def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def linked(
+    pairs: DataFrame, rows: DataFrame, own: DataFrame, n: int, percent: int
+) -> DataFrame:
     """The (a, b) pairs of nodes whose sets are similar enough.
 
-    ``pairs`` has a, b and their set sizes size_a, size_b; ``texts`` one (node, text) per node.
+    ``pairs`` has a, b and their set sizes size_a, size_b, as a written table.
     """
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    texts = _texts(rows, own, pairs)
     pairs = close(pairs, texts, n, percent)
     parts = partitions(texts, n).filter(F.size("grams") > 0)
     # sets go straight to the partition of a, once for every pair and once for a itself
@@ -334,11 +339,12 @@ def groups(
     for i in "ab":
         first = first.join(_side(known, i), i)
     first = written(first.filter(_near(percent)).select("a", "b", "size_a", "size_b"), "pairs")
-    links = written(linked(first, _texts(rows, own, first), n, percent), "links")
+    links = written(linked(first, rows, own, n, percent).union(_same_key(own)), "links")
+    alone = known.select("node", F.col("node").alias("component"))
+    parts = merged(alone, links)
     # then nodes of different components that meet somewhere
     placed = (
-        shared.join(components(links), "node", "left")
-        .select("signature", "node", F.coalesce("component", "node").alias("component"))
+        shared.join(parts, "node")
         .withColumns(
             {"lowest": F.min("component").over(same), "highest": F.max("component").over(same)}
         )
@@ -364,19 +370,17 @@ def groups(
         F.greatest("component_a", "component_b").alias("y"),
     ).agg(F.min_by(F.struct("a", "b", "size_a", "size_b"), F.struct("differ", "a", "b")).alias("p"))
     best = written(best.select("p.*"), "best")
-    links = written(links.union(linked(best, _texts(rows, own, best), n, percent)), "links")
+    parts = merged(parts, written(linked(best, rows, own, n, percent), "links"))
     # at last all that are still apart
-    part_of = components(links)
     apart = second.join(best, ["a", "b"], "left_anti").select("a", "b", "size_a", "size_b")
     for i in "ab":
-        side = part_of.select(F.col("node").alias(i), F.col("component").alias(f"component_{i}"))
-        apart = apart.join(side, i, "left")
-    apart = apart.filter(
-        F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
-    ).select("a", "b", "size_a", "size_b")
+        side = parts.select(F.col("node").alias(i), F.col("component").alias(f"component_{i}"))
+        apart = apart.join(side, i)
+    apart = apart.filter("component_a <> component_b").select("a", "b", "size_a", "size_b")
     apart = written(apart, "apart")
-    links = links.union(linked(apart, _texts(rows, own, apart), n, percent))
-    return labelled(own, links, key)
+    if not apart.isEmpty():
+        parts = merged(parts, written(linked(apart, rows, own, n, percent), "links"))
+    return labelled(own, parts, key)
 
 
 def _side(nodes: DataFrame, i: str, *more) -> DataFrame:
@@ -387,27 +391,24 @@ def _side(nodes: DataFrame, i: str, *more) -> DataFrame:
     )
 
 
-def labelled(own: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """Carry the links of nodes over to keys and name every group by its smallest key."""
+def _same_key(own: DataFrame) -> DataFrame:
+    """Links between the nodes of a key that has several texts."""
+    full = own.filter("n_shingles > 0 and key is not null").select("key", "node")
+    ends = full.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("most"))
+    return full.join(ends.filter("a < most"), "key").select("a", F.col("node").alias("b"))
+
+
+def labelled(own: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """Name every component by its smallest key and carry the name over to its rows."""
     full = own.filter("n_shingles > 0 and key is not null")
-    first = written(full.groupBy("node").agg(F.min("key").alias("first")), "first")
-    copies = (
-        full.select("key", "node")
-        .distinct()
-        .join(first, "node")
-        .filter("key <> first")
-        .select(F.col("key").alias("a"), F.col("first").alias("b"))
-    )
-    between = (
-        links.join(first.select(F.col("node").alias("a"), F.col("first").alias("x")), "a")
-        .join(first.select(F.col("node").alias("b"), F.col("first").alias("y")), "b")
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
-    part_of = components(copies.union(between)).withColumnRenamed("node", "key")
-    return own.join(part_of, "key", "left").select(
+    first = full.groupBy("node").agg(F.min("key").alias("first")).join(parts, "node")
+    first = written(first, "first")
+    names = first.groupBy("component").agg(F.min("first").alias("component_id"))
+    names = written(first.join(names, "component").select("node", "component_id"), "names")
+    return own.join(names, "node", "left").select(
         F.col("key").alias(key),
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("component", "key"))
+        F.when(F.col("n_shingles") > 0, F.when(F.col("key").isNotNull(), F.col("component_id")))
         .otherwise(F.col("key"))
         .alias("component_id"),
     )
