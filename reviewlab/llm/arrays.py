@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are worked on in slices of about this many bytes, whatever the size of an Arrow batch.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # The multipliers of the splitmix64 finaliser.
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
