@@ -39,6 +39,8 @@ from reviewlab.llm.arrays import flat_text, mix, slices, spread
 from reviewlab.llm.frames import merged, shipped, small, written
 
 PARTITIONS = 8
+# A batch goes out of Python once it has this many n-grams or keys.
+MOST_ROWS = 100_000
 # Sizes of a class span this factor.
 CLASS_FACTOR = 1.7
 # Bits of a parity sketch, kept as 64-bit words.
@@ -209,7 +211,7 @@ def meetings(df: DataFrame, n: int, percent: int, text: str = "text") -> DataFra
                 signature.append(keys)
                 node.append(np.full(len(keys), name, np.int64))
                 rows += len(keys)
-                if rows >= 500_000:
+                if rows >= MOST_ROWS:
                     yield rows_of(signature, node)
                     signature, node, rows = [], [], 0
             if rows:
@@ -234,7 +236,7 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
                 nodes.append(node)
                 kept.append(grams)
                 rows += len(grams)
-                if rows >= 500_000:
+                if rows >= MOST_ROWS:
                     yield cut(nodes, kept)
                     nodes, kept, rows = [], [], 0
             if rows:
