@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 
 from reviewlab.operators import encoding as en
@@ -67,6 +68,20 @@ def train_and_evaluate(data: Prepared, name: str, key: str = en.KEY, **params) -
     return Trained(model, evaluate(scored), scored)
 
 
+def tune_and_evaluate(
+    data: Prepared,
+    name: str,
+    values: dict[str, list] | None = None,
+    folds: int | None = None,
+    key: str = en.KEY,
+    **fixed,
+) -> tuple[CrossValidatorModel, Trained]:
+    """Search the grid on the training side and measure the best model on the test side."""
+    found = md.tune(data.train, name, values, folds, key=key, **fixed)
+    scored = md.score(found.bestModel, data.test, key)
+    return found, Trained(found.bestModel, evaluate(scored), scored)
+
+
 def compare(data: Prepared, specs: dict[str, dict], key: str = en.KEY) -> DataFrame:
     """Train several classifiers on the same split: (model, metric, value)."""
     reports = {
