@@ -222,11 +222,11 @@ def spans(text: str | None, guesser: Guesser, min_log10: float = MIN_LOG10):
         at, reach = 0, 0
         for m in VALUE.finditer(text):
             start, end = m.span(1)
-            while at < len(taken) and taken[at][0] < end:
+            while at < len(taken) and taken[at][0] <= start:
                 reach = max(reach, taken[at][1])
                 at += 1
-            if reach > start:
-                continue  # a base span covers it already
+            if reach >= end:
+                continue  # one base span covers all of it
             cost = guesser.log10_guesses(m[1])
             if cost >= min_log10:
                 out.append((start, 3, end, round(cost, 3)))
