@@ -261,15 +261,21 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
 
 
 def wide_sketches(df: DataFrame, n: int) -> DataFrame:
-    """(node, wide) of (node, text) rows."""
+    """(node, wide) of (node, text) rows; a row with another text of the node's key is left out."""
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<own:bigint,wide:array<bigint>>")
     def wide(column: pa.Array) -> pa.Array:
-        words = [sketch_of(grams, WIDE_BITS) for grams in ngram_sets(column, n)]
+        own, words = [], []
+        for grams in ngram_sets(column, n):
+            own.append(node_of(grams))
+            words.append(sketch_of(grams, WIDE_BITS))
         at = pa.array(np.arange(len(words) + 1) * (WIDE_BITS // 64), pa.int32())
-        return pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.zeros(0, np.int64), *words])))
+        flat = pa.array(np.concatenate([np.zeros(0, np.int64), *words]))
+        columns = [pa.array(own, pa.int64()), pa.ListArray.from_arrays(at, flat)]
+        return pa.StructArray.from_arrays(columns, ["own", "wide"])
 
-    return df.select("node", wide(F.col("text")).alias("wide")).dropDuplicates(["node"])
+    rows = df.select("node", wide(F.col("text")).alias("s")).filter("node = s.own")
+    return rows.select("node", "s.wide").dropDuplicates(["node"])
 
 
 def close(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 
-from reviewlab.llm import secrets
+from reviewlab.llm import jaccard_join, secrets
 
 
 @pytest.mark.parametrize(
@@ -18,3 +19,28 @@ from reviewlab.llm import secrets
 def test_value_masked_whole(text, clean):
     found = secrets.spans(text, secrets.Guesser())
     assert secrets.masked(text, [(s, e) for s, _, e, _ in found], "[SECRET]") == clean
+
+
+def _words(start, n):
+    return [f"w{i}" for i in range(start, start + n)]
+
+
+def test_key_with_two_texts(spark):
+    """A node's sketch is that of its own text, and both texts of a key keep their links."""
+    one, two = _words(0, 60), _words(1000, 60)
+    t1, t2 = " ".join(one), " ".join(two)
+    node = {}
+    for t in (t1, t2):
+        grams = jaccard_join.ngram_sets(pa.array([t]), 4)
+        node[t] = jaccard_join.node_of(next(iter(grams)))
+    rows = [(node[t1], t2), (node[t1], t1), (node[t2], t1), (node[t2], t2)]
+    got = jaccard_join.wide_sketches(spark.createDataFrame(rows, "node bigint, text string").coalesce(1), 4)
+    for r in got.collect():
+        own = next(t for t in node if node[t] == r.node)
+        grams = next(iter(jaccard_join.ngram_sets(pa.array([own]), 4)))
+        assert r.wide == jaccard_join.sketch_of(grams, jaccard_join.WIDE_BITS).tolist()
+    rows = [(5, t2), (5, t1), (6, t1 + " more"), (7, t2 + " more")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1)
+        found = jaccard_join.groups(df, n=4, percent=85).collect()
+        assert {(r.doc_id, r.component_id) for r in found} == {(5, 5), (6, 5), (7, 5)}
