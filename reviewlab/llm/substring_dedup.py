@@ -1,9 +1,12 @@
 """Substring deduplication by sliding sentence spans, in DataFrame operations only.
 
 A text is cut into sentences (after . ! ? and white space, and after line ends), which joined give
-the text back. From every sentence on, the shortest run of sentences that has ``min_words`` words
-and more than one sentence is a span; a single sentence is one if it has ``min_single`` words. A span
-depends on its own sentences only, so a passage has the same spans wherever it stands. The spans'
+the text back. The shortest run of sentences from every sentence on that has ``min_words`` words and
+more than one sentence is a span, and so is the shortest that ends with it; a single sentence is one
+if it has ``min_single`` words. Together they cover what all such runs cover: a sentence of a longer
+run is in the shortest from it on, or that one leaves the longer run and the shortest that ends with
+its last sentence holds it. A span depends on its own sentences only, so a passage has the same spans
+wherever it stands. The spans'
 hashes are joined over all documents; the first place of a span, by key and position, keeps it, and
 every sentence covered by another place of a repeated span is removed.
 
@@ -54,24 +57,33 @@ def _runs(words: Column, codes: Column, min_words: int, min_single: int) -> Colu
     """The shortest runs; all sentences but the first have a word, so min_words + 1 are enough."""
     most = min_words + 1
 
-    def length(i: Column) -> Column:
+    def length(i: Column, step: int, single: int | None) -> Column:
         total = F.get(words, i)
-        out = F.when(total >= min_single, 1)
+        out = F.when(total >= min_single, single)
         for n in range(2, most + 1):
-            total = total + F.get(words, i + n - 1)
+            total = total + F.get(words, i + step * (n - 1))
             out = out.when(total >= min_words, n)
         return out
 
-    lengths = F.transform(codes, lambda c, i: length(i))
-    places = F.transform(
-        lengths,
-        lambda n, i: F.struct(
-            F.xxhash64(F.slice(codes, i + 1, F.coalesce(n, F.lit(0))), n).alias("span"),
-            i.alias("first"),
-            (i + n).alias("after"),
-        ),
-    )
-    return F.filter(places, lambda p: p["after"].isNotNull())
+    def places(lengths: Column, first) -> Column:
+        every = F.transform(
+            lengths,
+            lambda n, i: F.struct(
+                F.xxhash64(F.slice(codes, first(n, i) + 1, F.coalesce(n, F.lit(0))), n).alias("span"),
+                first(n, i).alias("first"),
+                (first(n, i) + n).alias("after"),
+            ),
+        )
+        return F.filter(every, lambda p: p["after"].isNotNull())
+
+    def both(starts: Column) -> Column:
+        # what a run that ends with a single span covers besides is in the runs from its sentences on
+        ends = F.transform(codes, lambda c, i: length(i, -1, None))
+        other = F.transform(ends, lambda n, i: F.when(~F.get(starts, i - n + 1).eqNullSafe(n), n))
+        backward = places(other, lambda n, i: F.coalesce(i - n + 1, F.lit(0)))
+        return F.concat(places(starts, lambda n, i: i), backward)
+
+    return bound(F.transform(codes, lambda c, i: length(i, 1, 1)), both)
 
 
 def dedup(

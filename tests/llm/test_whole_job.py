@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pyarrow as pa
 import pytest
 
-from reviewlab.llm import jaccard_join, secrets
+from reviewlab.llm import jaccard_join, secrets, substring_dedup
 
 
 @pytest.mark.parametrize(
@@ -44,3 +47,37 @@ def test_key_with_two_texts(spark):
         df = spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1)
         found = jaccard_join.groups(df, n=4, percent=85).collect()
         assert {(r.doc_id, r.component_id) for r in found} == {(5, 5), (6, 5), (7, 5)}
+
+
+def _all_runs(text):
+    """Every run of sentences that counts as repeated if it is elsewhere, also the long ones."""
+    pieces = re.split(r"(?<=[.!?]\s)(?!\s)|(?<=\n)(?!\s)", text)
+    words = [tuple(p.lower().split()) for p in pieces]
+    for i in range(len(pieces)):
+        for j in range(i + 1, len(pieces) + 1):
+            total = sum(map(len, words[i:j]))
+            if total >= (substring_dedup.MIN_SINGLE if j == i + 1 else substring_dedup.MIN_WORDS):
+                yield tuple(words[i:j]), i, j
+
+
+def test_repeated_passage_goes_to_its_end(spark):
+    rng = random.Random(3)
+
+    def sentence(n):
+        return " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(n)) + ". "
+
+    passages = [[sentence(n) for n in sizes] for sizes in ((20, 5, 10), (6, 6, 6), (31, 4), (40, 20), (3, 35, 2), (5, 31))]
+    for _ in range(30):
+        passages.append([sentence(rng.choice((1, 2, 4, 7, 12, 17, 33))) for _ in range(rng.randint(2, 7))])
+    docs = []
+    for p in passages:
+        docs += [sentence(5) + "".join(p) + sentence(9), sentence(3) + "".join(p) + sentence(2)]
+    first, gone = {}, [set() for _ in docs]
+    for doc, text in enumerate(docs):
+        for run, i, j in _all_runs(text):
+            if first.setdefault(run, (doc, i)) != (doc, i):
+                gone[doc] |= set(range(i, j))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup.dedup(df).collect()}
+    assert gone[1] == {1, 2, 3}
+    assert got == {doc: len(x) for doc, x in enumerate(gone)}
