@@ -1,8 +1,7 @@
 """Training, tuning, model reports and scoring on the base table.
 
 Fits depend on floating-point order, so these queries have no SQL, save for the reports whose
-numbers come from the data alone. All fits use the presets, and all searches the whole grids save
-for two (``QUICK_GRIDS``).
+numbers come from the data alone. All fits use the presets, and all searches the whole grids.
 """
 
 from __future__ import annotations
@@ -22,12 +21,6 @@ from reviewlab.session import scratch_path
 from reviewlab.sources import adapters as A
 from reviewlab.sources.tables import read_table
 
-# Smaller than the grids of these two, whose 12 points take hundreds of deep trees; still open.
-QUICK_GRIDS = {
-    "rf": {"numTrees": [5, 10], "maxDepth": [3, 5]},
-    "gbt": {"maxDepth": [2, 3], "maxIter": [3]},
-}
-
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bt.build_base_table(A.tables(spark, sf_dir), payment_types=A.PAYMENT_TYPES)
@@ -55,7 +48,7 @@ def _tune(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         data = tr.prepare(labelled(spark, sf_dir))
         try:
-            return md.grid_scores(spark, md.tune(data.train, name, QUICK_GRIDS.get(name)))
+            return md.grid_scores(spark, md.tune(data.train, name))
         finally:
             data.release()
 
