@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import pyarrow as pa
 import pytest
 
-from reviewlab.llm import jaccard_join, secrets, substring_dedup
+from reviewlab.llm import jaccard_join, licenses, secrets, substring_dedup
 
 
 @pytest.mark.parametrize(
@@ -81,3 +82,30 @@ def test_repeated_passage_goes_to_its_end(spark):
     got = {r.doc_id: r.n_removed for r in substring_dedup.dedup(df).collect()}
     assert gone[1] == {1, 2, 3}
     assert got == {doc: len(x) for doc, x in enumerate(gone)}
+
+
+def test_wrapped_and_embedded_licences(spark):
+    def wrapped(name, lead, width):
+        text = textwrap.fill(licenses.TEXTS[name], width, initial_indent=lead, subsequent_indent=lead)
+        return "Some tool\n\n" + text + "\n\nimport os\n"
+
+    notice = "The parser was written in spring. Released under the MIT License. It reads tables of any size, and more."
+    rows = [
+        (1, wrapped("Apache-2.0 header", "# ", 80)),
+        (2, wrapped("MIT text", "", 72)),
+        (3, "A line\n" + notice),
+        (4, "Released under\nthe MIT License.\nText\nReleased under the MIT License.\nx " + notice),
+        (5, "The licence of the software is free, the terms of the software are open."),
+        (None, wrapped("BSD-3-Clause text", " * ", 60)),
+        (6, notice),
+        (6, notice),
+        (7, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = licenses.scan(docs, licenses.default_templates(spark)).collect()
+    got = sorted(((r.doc_id or 0, r.line, r.template) for r in found), key=str)
+    assert (1, 2, "Apache-2.0 header") in got and (2, 2, "MIT text") in got and (0, 2, "BSD-3-Clause text") in got
+    assert [x for x in got if x[0] == 3] == [(3, 1, "MIT")]
+    assert [x for x in got if x[0] == 4] == [(4, 0, "MIT"), (4, 3, "MIT"), (4, 4, "MIT")]
+    assert [x for x in got if x[0] == 6] == [(6, 0, "MIT")] * 2
+    assert not [x for x in got if x[0] in (5, 7)]
