@@ -4,7 +4,10 @@ The base patterns find assigned keys, access key numbers and hexadecimal strings
 every value in a credential context (``pwd = ...``, ``passphrase: ...``) is priced as a guesser
 would: dynamic programming over the value finds the cheapest way to cut it into dictionary
 words, dates, repeats, sequences, keyboard walks and brute-force spans. A value of at least
-``min_log10`` guesses is a secret; ``password: changeme`` is not.
+``min_log10`` guesses is a secret; ``password: changeme`` is not. The dictionary is common parts of
+passwords and then the words of the texts themselves, those in the most texts first, at most
+``MOST_WORDS``; what stands as a credential's value is not counted, so a secret that is copied is no
+word. A word in fewer than ``MIN_TEXTS`` texts is not known.
 
 Defined results: a null or empty text has no spans. Spans count code points, ends are exclusive,
 and are ordered by start, then kind as in KINDS. Rows are independent, so repeated rows give
@@ -22,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.frames import shipped
+from reviewlab.llm.frames import shipped, written
+from reviewlab.llm.words import folded
 
 KINDS = ("assign", "access", "hex", "guess")
 SPAN = "array<struct<kind:string,start:int,end:int,log10_guesses:double>>"
@@ -37,6 +41,8 @@ ARROW_SPAN = pa.list_(
     )
 )
 MIN_LOG10 = 9.0
+# Words learnt from the texts: how many at most, in how many texts at least, and their lengths.
+MOST_WORDS, MIN_TEXTS, WORD_LENGTHS = 50_000, 3, (3, 20)
 
 # The base patterns with the least length that counts.
 ASSIGN = re.compile(
@@ -233,15 +239,37 @@ def spans(text: str | None, guesser: Guesser, min_log10: float = MIN_LOG10):
     return sorted(out, key=lambda x: x[:3])
 
 
+def dictionary(df: DataFrame, text: str = "text", most: int = MOST_WORDS) -> list[str]:
+    """The words in the most texts first, at most ``most``; words near the bound stay or go together."""
+    prose = F.regexp_replace(F.coalesce(df[text], F.lit("")), "(?i)" + VALUE.pattern, " ")
+    words = F.filter(F.split(folded(prose), r"\P{L}+"), lambda w: F.length(w).between(*WORD_LENGTHS))
+    counts = df.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").count()
+    level = F.floor(F.log2("count") * 8)
+    counts = written(counts.filter(F.col("count") >= MIN_TEXTS).withColumn("level", level), "words")
+    least, total = math.inf, 0
+    for r in sorted(counts.groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
+        total += r.n
+        if total > most:
+            break
+        least = r.level
+    if least == math.inf:
+        return []
+    kept = counts.filter(F.col("level") >= least).collect()
+    return [r["word"] for r in sorted(kept, key=lambda r: (-r["count"], r["word"]))]
+
+
 def scan(
     df: DataFrame,
     text: str = "text",
     out: str = "secrets",
-    words: Sequence[str] = COMMON_WORDS,
+    words: Sequence[str] | None = None,
     min_log10: float = MIN_LOG10,
 ) -> DataFrame:
-    """Add the spans of every text, as an array of (kind, start, end, log10_guesses)."""
-    words = list(words)
+    """Add the spans of every text, as an array of (kind, start, end, log10_guesses).
+
+    ``words`` is the dictionary, most common first; by default the texts' own words are learnt.
+    """
+    words = [*COMMON_WORDS, *dictionary(df, text)] if words is None else list(words)
 
     @F.arrow_udf(SPAN)
     def find(column: pa.Array) -> pa.Array:

@@ -109,3 +109,15 @@ def test_wrapped_and_embedded_licences(spark):
     assert [x for x in got if x[0] == 4] == [(4, 0, "MIT"), (4, 3, "MIT"), (4, 4, "MIT")]
     assert [x for x in got if x[0] == 6] == [(6, 0, "MIT")] * 2
     assert not [x for x in got if x[0] in (5, 7)]
+
+
+def test_ordinary_words_are_no_secrets(spark):
+    prose = "We always listen to nothing while the building and its infrastructure are under construction today."
+    plain = ["The secret: always listen", "pwd: building", "token: nothing", "passcode: infrastructure."]
+    leaked = ["passphrase: vqzkxwjbyr"] * 6  # a copied secret is no word
+    rows = list(enumerate([prose] * 5 + plain + leaked))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: len(r.secrets) for r in secrets.scan(df).collect()}
+    assert got == {i: int(t in leaked) for i, t in rows}
+    assert secrets.dictionary(df, most=0) == []
+    assert len(secrets.dictionary(df)) >= 10
