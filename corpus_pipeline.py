@@ -27,18 +27,29 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of near duplicates (five-word
-    shingles, similarity 0.8 or more); rows without an id and documents without words stay."""
-    groups = jaccard_join.groups(docs, n=5, percent=80)
-    dropped = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(dropped, "doc_id", "left_anti").select(COLUMNS)
+    """Keep one document of every group of near duplicates (five-word shingles, similarity 0.8 or
+    more): of those with the smallest id, none coming last, one text and one row of it. Texts are
+    compared, whatever their ids; documents without words stay."""
+    rows = docs.select(COLUMNS).withColumn("_code", F.xxhash64("text"))
+    groups = jaccard_join.groups(rows, n=5, percent=80, key="_code").filter("n_shingles > 0")
+    groups = written(groups.select("_code", "component_id").distinct(), "groups")
+    # the first row of every text, then of every group; no text is in these
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "lang", "source", "n_chars")
+    first = rows.groupBy("_code").agg(F.min(place).alias("place")).join(groups, "_code")
+    first = first.groupBy("component_id").agg(F.min(F.struct("place", "_code")).alias("f"))
+    first = written(first.select("f.place", "f._code"), "first")
+    same = rows["doc_id"].eqNullSafe(F.col("place.doc_id")) & (rows["_code"] == first["_code"])
+    kept = rows.join(first, same).select(rows["_code"], "place", "text").dropDuplicates(["_code"])
+    kept = kept.select(*(F.col("text") if c == "text" else F.col(f"place.{c}") for c in COLUMNS))
+    return kept.union(rows.join(groups, "_code", "left_anti").select(COLUMNS))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a window of the benchmark."""
-    checked = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    dropped = checked.filter("n_hit > 0").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(dropped, "doc_id", "left_anti").select(COLUMNS)
+    """Drop the documents that hold a window of the benchmark, by their texts, not their ids."""
+    rows = docs.select(COLUMNS).withColumn("_code", F.xxhash64("text"))
+    checked = decontaminate.decontaminate(rows, table(spark, sf_dir, "benchmark"), key="_code")
+    dropped = checked.filter("n_hit > 0").select("_code").distinct()
+    return rows.join(dropped, "_code", "left_anti").select(COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 import textwrap
 
+import corpus_pipeline
 import pyarrow as pa
 import pytest
 
@@ -121,3 +122,21 @@ def test_ordinary_words_are_no_secrets(spark):
     assert got == {i: int(t in leaked) for i, t in rows}
     assert secrets.dictionary(df, most=0) == []
     assert len(secrets.dictionary(df)) >= 10
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: every text is judged by itself, and one of a group stays."""
+    one, two, three = (" ".join(_words(i, 60)) for i in (0, 1000, 2000))
+    rows = [(None, one), (None, two), (1, one), (1, two), (2, three), (2, three), (3, ""), (4, None), (None, three)]
+    rows = [(i, t, "en", "a", len(t or "")) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+    def left(stage):
+        return sorted(((r.doc_id, r.text) for r in stage(spark, docs, str(tmp_path)).collect()), key=str)
+
+    want = [(1, one), (1, two), (2, three), (3, ""), (4, None)]
+    assert left(corpus_pipeline.near_duplicates) == sorted(want, key=str)
+    bench = spark.createDataFrame([(1, " ".join(_words(10, 20)))], "item_id bigint, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    want = [r[:2] for r in rows if r[1] != one]
+    assert left(corpus_pipeline.remove_contaminated) == sorted(want, key=str)
