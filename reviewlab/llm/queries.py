@@ -14,16 +14,21 @@ from reviewlab.llm import (
     fingerprints,
     jaccard_join,
     licenses,
+    merkle,
     pii,
     quality,
     secrets,
     sentencepiece_bpe,
     sql,
     substring_dedup,
+    token_files,
+    vector_codes,
 )
-from reviewlab.llm.frames import written
+from reviewlab.llm.frames import small, written
+from reviewlab.session import scratch_path
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -206,6 +211,46 @@ def _joined(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
     return left.join(renamed, on).drop(*(f"_{k}" for k in keys))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    other = merkle.leaf(docs, columns, n_chars=F.try_add("n_chars", F.lit(1)))
+    done = merkle.manifest(
+        docs, merkle.leaf(docs, columns), claimed=F.when(tampered, other)
+    )
+    done = done.withColumn("folded", merkle.fold(F.coalesce("claimed", "leaf")))
+    text = {c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root", "proof", "folded")}
+    return done.select(
+        "doc_id",
+        *(text[c].alias(c) for c in ("leaf", "subroot", "root")),
+        F.sha2(text["proof"], 256).alias("proof_sha256"),
+        text["folded"].alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = token_files.write(docs, scratch_path(spark, "token-files"), TOKENIZER)
+    return token_files.read(files).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    per_label = done.groupBy("label").agg(F.sum("error").alias("label_error"))
+    entries = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return _joined(done, small(per_label), "label").select(
+        "vec_id",
+        F.array_join(entries, "").alias("code"),
+        "error",
+        "label_error",
+        "codebooks_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -219,6 +264,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_secret_scan,
         op10_imatch,
+        op11_merkle,
+        op12_token_files,
+        op13_vector_codes,
     )
 }
 ORACLES: dict[str, str] = {
@@ -227,4 +275,8 @@ ORACLES: dict[str, str] = {
     "op4_license_scan": sql.license_scan(licenses.TEMPLATES, licenses.DICE),
     "op5_chat_format": sql.CHAT_FORMAT,
     "op10_imatch": sql.imatch(fingerprints),
+    "op11_merkle": sql.MERKLE,
+    "op13_vector_codes": sql.vector_codes(
+        vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    ),
 }

@@ -251,3 +251,155 @@ def imatch(f) -> str:
         "edited AS edited_fingerprint, e.near AS near_edited, x.near AS near_next "
         "FROM following JOIN together USING (r0) JOIN near_e e USING (r0) JOIN near_n x USING (r0)"
     )
+
+
+def _field(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    columns = ["doc_id", "source", "lang", n_chars, "text"]
+    return f"sha256({' || '.join(map(_field, columns))})"
+
+
+def _tree(leaves: str) -> str:
+    """Levels (g, lvl, i, n, h) over leaves (g, i, n, h); n is the size of the level."""
+    return (
+        f"SELECT g, 0 AS lvl, i, n, h FROM {leaves} UNION ALL "
+        "SELECT g, lvl + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) "
+        "FROM {} WHERE n > 1 GROUP BY g, lvl, i // 2"
+    )
+
+
+def _fold(start: str, tree: str) -> str:
+    """What the nodes (r, g, i, h) of ``start`` become level by level, with their siblings."""
+    return (
+        f"SELECT r, g, 0 AS lvl, i, h, '' AS s FROM {start} UNION ALL "
+        "SELECT f.r, f.g, f.lvl + 1, f.i // 2, CASE WHEN t.h IS NULL THEN sha256(f.h) "
+        "WHEN f.i % 2 = 0 THEN sha256(f.h || t.h) ELSE sha256(t.h || f.h) END, f.s || coalesce(t.h, '') "
+        f"FROM {{}} f JOIN {tree}_sizes z ON z.g = f.g AND z.lvl = f.lvl AND z.n > 1 "
+        f"LEFT JOIN {tree} t ON t.g = f.g AND t.lvl = f.lvl AND t.i = xor(f.i, 1)"
+    )
+
+
+def _ends(fold: str) -> str:
+    return f"SELECT r, arg_max(h, lvl) AS h, arg_max(s, lvl) AS s FROM {fold} GROUP BY r"
+
+
+# Fixed value: the reversed polynomial of CRC-32.
+_CRC_BYTE = (
+    "list_reduce(range(8), lambda c, k: "
+    "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)"
+)
+MERKLE = (
+    cte(
+        ("bytes", f"SELECT list({_CRC_BYTE} ORDER BY i) AS t FROM range(256) x(i)"),
+        (
+            "docs",
+            "SELECT *, row_number() OVER () AS r, coalesce('=' || lang, '-') AS g, "
+            f"{_leaf('n_chars')} AS leaf, {_leaf('n_chars + 1')} AS other, "
+            "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+            "lambda d: CAST(ascii(d) AS BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), "
+            "4294967295), 4294967295) % 7 = 0 AND n_chars IS NOT NULL AS tampered FROM documents, bytes",
+        ),
+        (
+            "leaves",
+            "SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, "
+            "count(*) OVER (PARTITION BY g) AS n, leaf AS h FROM docs",
+        ),
+        ("tree", _tree("leaves").format("tree")),
+        ("tree_sizes", "SELECT g, lvl, any_value(n) AS n FROM tree GROUP BY g, lvl"),
+        ("subroots", "SELECT g, h FROM tree WHERE n = 1"),
+        (
+            "tops",
+            "SELECT '' AS g, g AS grp, row_number() OVER (ORDER BY g) - 1 AS i, "
+            "count(*) OVER () AS n, h FROM subroots",
+        ),
+        ("crown", _tree("tops").format("crown")),
+        ("crown_sizes", "SELECT g, lvl, any_value(n) AS n FROM crown GROUP BY g, lvl"),
+        ("root", "SELECT h FROM crown WHERE n = 1"),
+        ("proof", _fold("leaves", "tree").format("proof")),
+        ("proofs", _ends("proof")),
+        ("crown_start", "SELECT grp AS r, g, i, h FROM tops"),
+        ("crown_proof", _fold("crown_start", "crown").format("crown_proof")),
+        ("crown_proofs", _ends("crown_proof")),
+        (
+            "forged",
+            "SELECT r, g, i, CASE WHEN tampered THEN other ELSE leaf END AS h FROM leaves",
+        ),
+        ("forged_fold", _fold("forged", "tree").format("forged_fold")),
+        ("forged_ends", _ends("forged_fold")),
+        (
+            "forged_tops",
+            "SELECT f.r, t.g, t.i, f.h FROM forged_ends f JOIN leaves l USING (r) JOIN tops t ON t.grp = l.g",
+        ),
+        ("forged_crown", _fold("forged_tops", "crown").format("forged_crown")),
+        ("folded", _ends("forged_crown")),
+    )
+    + "SELECT l.doc_id, l.leaf, s.h AS subroot, root.h AS root, sha256(p.s || c.s) AS proof_sha256, "
+    "folded.h AS folded_root, folded.h = root.h AS verified FROM leaves l JOIN subroots s ON s.g = l.g "
+    "JOIN proofs p ON p.r = l.r JOIN crown_proofs c ON c.r = l.g JOIN folded ON folded.r = l.r, root"
+)
+
+
+def vector_codes(parts: int, entries: int, rounds: int) -> str:
+    """Lloyd's rounds one after the other; whole numbers as doubles, which hold them exactly."""
+    found = [
+        (
+            "vectors",
+            "SELECT row_number() OVER () AS r, vec_id, label, "
+            "list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v FROM embeddings "
+            "WHERE embedding IS NOT NULL AND len(list_filter(embedding, "
+            "lambda x: x IS NULL OR NOT isfinite(x))) = 0",
+        ),
+        (
+            "parts",
+            f"SELECT r, vec_id, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x "
+            f"FROM vectors, range({parts}) t(p)",
+        ),
+        (
+            "book_0",
+            "SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts "
+            f"WHERE vec_id IN (SELECT vec_id FROM vectors ORDER BY vec_id LIMIT {entries})",
+        ),
+    ]
+    for k in range(rounds + 1):
+        found.append(
+            (
+                f"near_{k}",
+                "SELECT r, p, any_value(x) AS x, min(CAST(list_inner_product(x, x) "
+                "- 2 * list_inner_product(x, c) + list_inner_product(c, c) AS BIGINT) * 65536 + e) AS m "
+                f"FROM parts JOIN book_{k} USING (p) GROUP BY r, p",
+            )
+        )
+        if k < rounds:
+            found += [
+                (
+                    f"means_{k}",
+                    "SELECT p, e, list(c ORDER BY i) AS c FROM (SELECT p, m % 65536 AS e, i, "
+                    "floor(sum(x[i]) / count(*)) AS c FROM (SELECT p, m, x, "
+                    f"unnest(range(1, len(x) + 1)) AS i FROM near_{k}) GROUP BY ALL) GROUP BY p, e",
+                ),
+                (
+                    f"book_{k + 1}",
+                    f"SELECT p, e, coalesce(n.c, o.c) AS c FROM book_{k} o LEFT JOIN means_{k} n USING (p, e)",
+                ),
+            ]
+    return (
+        cte(
+            *found,
+            (
+                "codes",
+                "SELECT r, string_agg(printf('%02x', m % 65536), '' ORDER BY p) AS code, "
+                f"CAST(sum(m // 65536) AS BIGINT) AS error FROM near_{rounds} GROUP BY r",
+            ),
+            (
+                "hash",
+                "SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), "
+                f"','), ',' ORDER BY p, e)) AS h FROM book_{rounds}",
+            ),
+        )
+        + "SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, "
+        "h AS codebooks_sha256 FROM codes JOIN vectors USING (r), hash"
+    )
