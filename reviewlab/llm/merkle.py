@@ -82,7 +82,8 @@ def directory(words: DataFrame, by: list[str]) -> DataFrame:
     ends = words.agg(F.min("word").alias("a"), F.max("word").alias("b")).first()
     parent = F.expr(f"shiftright(word, {DIRECTORY_BITS})")
     levels, shift = [words.select(*by, "word", "rows")], DIRECTORY_BITS
-    while ends.a is not None and ends.a >> shift != ends.b >> shift:
+    # of 58 bits, at most ten are left above the last level
+    while ends.a is not None and shift < 58 and ends.a >> shift != ends.b >> shift:
         sums = levels[-1].groupBy(*by, parent.alias("word")).agg(F.sum("rows").alias("rows"))
         levels.append(written(sums, "subtrees"))
         shift += DIRECTORY_BITS
@@ -90,7 +91,7 @@ def directory(words: DataFrame, by: list[str]) -> DataFrame:
     earlier = F.sum("rows").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     known = None
     for level in reversed(levels):  # from the root down
-        level = level.withColumn("parent", parent)
+        level = level.withColumn("parent", F.lit(0) if known is None else parent)
         level = level.withColumn("before", F.coalesce(earlier, F.lit(0)))
         if known is not None:
             above = known.select(*by, F.col("word").alias("parent"), F.col("before").alias("above"))
