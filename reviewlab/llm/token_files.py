@@ -15,9 +15,10 @@ most about ``FILE_BYTES``. A task names its files anew each time it runs; the ma
 that Spark commits, lists the files of the task that counted, and nothing else is ever read. The
 driver sees the dictionary's sample and one number per part.
 
-Words are encoded once per worker and kept (at most ``PIECES``) when the tokenizer is byte-level
-BPE cut by the usual pattern and the text has plain characters only; any other text goes whole
-through the library. Both give the library's ids.
+Where the tokenizer is byte-level BPE cut by the usual pattern and a text has ASCII and Latin
+letters only, numpy cuts a batch into words, each distinct word goes through the library's model once
+and is kept (two generations of ``PIECES`` per worker), and the ids are gathered. Any other text goes
+through the library whole. Both give the library's ids.
 
 Defined results: a null text is empty; documents are in ascending order of the key, null keys
 first, rows with one key in an order fixed by the input's; an empty text has the end id alone; an
@@ -29,7 +30,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -37,14 +37,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
-import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reviewlab.llm.arrays import mix, one_array
+from reviewlab.llm.arrays import flat_text, mix, one_array, ranges, slices
 from reviewlab.llm.frames import shipped, written
 
 MAGIC = b"RLIDS001"
@@ -52,7 +52,9 @@ HEAD = struct.Struct("<8s32sB")
 TAIL = struct.Struct("<Q8s")
 FILE_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
-PIECES = 400_000
+# Words of a generation, and bytes of text that are cut into words at a time.
+PIECES = 500_000
+SLICE_BYTES = 2 << 20
 LEVEL = 3
 
 # The dictionary is trained on at most this many texts of at most so many characters.
@@ -60,12 +62,26 @@ MAX_SAMPLE, MAX_SAMPLE_CHARS = 2_000, 4_096
 DICTIONARY_BYTES = 64 << 10
 
 LEAST = -(1 << 63)
-# Fixed value: the pattern of the byte-level pre-tokenizer.
-PATTERN = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
-# Characters whose class is the same in all versions of Unicode: ASCII, Latin, Greek, Cyrillic.
-ODD = re.compile("[^\t\n\r -~¡-¬®-ɏΑ-ΡΣ-ϿЀ-ҁ]")
+# Classes of bytes, as the pre-tokenizer's pattern tells them apart. Bytes from 0xC3 on begin or
+# go on with a Latin letter (up to U+02BF; without the signs at 0xC3 0x97 and 0xC3 0xB7).
+SPACE, BREAK, LETTER, DIGIT, SIGN, ODD = range(6)
+CLASS = np.full(256, ODD, np.uint8)
+CLASS[0x21:0x7F] = SIGN
+CLASS[[0x09, 0x0A, 0x0D]] = BREAK
+CLASS[0x20] = SPACE
+CLASS[0x30:0x3A] = DIGIT
+CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCB)]] = LETTER
+TIMES, DIVISION = 0x97, 0xB7
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for a byte in a byte-level vocabulary: a visible one for itself, and
+    the others one after the other from U+0100."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(others)}
+
+
 MANIFEST = (
     "part int, number int, file string, first long, docs long, tokens long, bytes long, "
     "least long, most long"
@@ -73,11 +89,10 @@ MANIFEST = (
 ENCODED = "key long, part int, row long, n long, frame binary"
 
 
-class Encoder(dict):
-    """Serialized ids of words, and of whole texts by ``encode``."""
+class Encoder:
+    """Serialized ids of texts, and of words that are kept in two generations."""
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         state = json.loads(self.tokenizer.to_str())
@@ -91,21 +106,94 @@ class Encoder(dict):
             and not cut.get("add_prefix_space")
         )
         self.added = [t["content"] for t in state["added_tokens"]]
+        self.letters = byte_letters()
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.kind).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECES:
-            self.clear()
-        self[piece] = ids = self._whole(piece)
+    def _word(self, word: bytes) -> bytes:
+        """A word that the young generation doesn't have; full, that becomes the old one."""
+        ids = self.old.get(word)
+        if ids is None and b"'" in word:  # may be several pieces
+            ids = self._whole(word.decode())
+        elif ids is None:
+            tokens = self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))
+            ids = np.array([t.id for t in tokens], self.kind).tobytes()
+        if len(self.young) >= PIECES:
+            self.old, self.young = self.young, {}
+        self.young[word] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        if not self.by_word or ODD.search(text) or any(t in text for t in self.added):
-            return self._whole(text)
-        return b"".join(map(self.__getitem__, PATTERN.findall(text)))
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text; a null is empty."""
+        texts = one_array(texts).cast(pa.large_string()).fill_null("")
+        raw, at = flat_text(texts)
+        plain = np.full(len(texts), self.by_word)
+        odd = np.append(0, np.cumsum(CLASS[raw] == ODD))
+        if len(raw) > 1:
+            signs = (raw[:-1] == 0xC3) & ((raw[1:] == TIMES) | (raw[1:] == DIVISION))
+            odd[1:-1] += np.cumsum(signs)
+            odd[-1] += signs.sum()
+        plain &= odd[at[1:]] == odd[at[:-1]]
+        for token in self.added:
+            plain &= ~np.asarray(pc.match_substring(texts, token))
+        done: list[bytes] = [b""] * len(texts)
+        for i in np.flatnonzero(~plain):
+            done[i] = self._whole(texts[int(i)].as_py())
+        rows = np.flatnonzero(plain)
+        raw, at = flat_text(texts.take(pa.array(rows)))
+        for a, b in slices(at, SLICE_BYTES):
+            ids, ends = self._by_word(raw[at[a] : at[b]], at[a : b + 1] - at[a])
+            for i, first, last in zip(rows[a:b].tolist(), ends[:-1].tolist(), ends[1:].tolist()):
+                done[i] = ids[first:last].tobytes()
+        return done
+
+    def _by_word(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where the texts' ids end) of flat texts, from the ids of their distinct words."""
+        starts = np.append(word_starts(raw, at), len(raw))
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(raw)]
+        ).dictionary_encode()
+        young = self.young.get
+        known = [young(w) or self._word(w) for w in words.dictionary.to_pylist()]
+        length = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        first = np.cumsum(length) - length
+        flat = np.frombuffer(b"".join(known), self.kind)
+        of = np.asarray(words.indices)
+        ids = flat[ranges(first[of], length[of])]
+        total = np.append(0, np.cumsum(length[of]))
+        return ids, total[np.searchsorted(starts, at)]
+
+
+def word_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the pre-tokenizer's pieces of flat texts begin; words with an apostrophe stay whole.
+
+    A piece is a run of letters, digits or signs with the space before it; white space is cut from
+    the last of its run where something follows.
+    """
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    kind = CLASS[raw]
+    white = kind <= BREAK
+    begins = np.zeros(len(raw) + 1, bool)  # a text begins
+    begins[at] = True
+    before = np.append(LETTER, kind[:-1])
+    white_before = np.append(False, white[:-1])
+    goes_on = np.append(~white[1:], False) & ~begins[1:]  # no white space follows in the text
+    start = np.where(
+        white, ~white_before | goes_on, (before != kind) & (before != SPACE)
+    )
+    word = ~white & (white_before | begins[:-1])
+    quoted = np.flatnonzero(raw == ord("'"))
+    if len(quoted):
+        number = np.cumsum(word)
+        whole = np.zeros(int(number[-1]) + 1, bool)
+        whole[number[quoted]] = True
+        start &= white | word | ~whole[number]
+    return np.flatnonzero(start | begins[:-1])
 
 
 @lru_cache(maxsize=2)
@@ -222,11 +310,18 @@ class Reader:
 
 
 def dictionary_of(rows: DataFrame, path: str, end: int, limit: int = MAX_SAMPLE) -> bytes:
-    """A dictionary trained on at most ``limit`` short texts, those with the smallest hashes."""
-    short = rows.filter(F.char_length("text").between(1, MAX_SAMPLE_CHARS))
+    """A dictionary trained on at most ``limit`` short texts, those whose keys' hashes are smallest.
+
+    Only hashes small enough for about so many rows are looked at, so tasks send few texts.
+    """
+    share = int(min(1.0, 2 * limit / max(1, rows.select("key").count())) * (1 << 30))
+    short = rows.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share).filter(
+        F.char_length("text").between(1, MAX_SAMPLE_CHARS)
+    )
     sample = short.orderBy(F.xxhash64("key", "text"), "key", "text").limit(limit).select("text")
     codes, tail = encoder(path), np.array([end], encoder(path).kind).tobytes()
-    return train([codes.encode(r.text) + tail for r in sample.collect()])
+    texts = pa.array([r.text for r in sample.collect()], pa.string())
+    return train([ids + tail for ids in codes.encode(texts)])
 
 
 def write(
@@ -259,8 +354,8 @@ def write(
             place = np.asarray(one_array(batch["key"]).fill_null(LEAST))
             part = parts_of(place, np.asarray(batch["row"]), cuts)
             size, frames = [], []
-            for value in batch["text"]:
-                ids = codes.encode(value.as_py() or "") + tail
+            for ids in codes.encode(batch["text"]):
+                ids += tail
                 size.append(len(ids) // codes.kind.itemsize)
                 frames.append(zstd.compress(ids))
             columns = [batch["key"], pa.array(part), batch["row"], pa.array(size, pa.int64())]

@@ -5,8 +5,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -88,11 +91,29 @@ def test_short_document_access(spark, library):
 def test_words_and_whole_texts_agree(library):
     codes = token_files.encoder(TOKENIZER)
     around = ("%s", "a%sb", " %s", "a %s %s", "1%s.", "%s\n x", "  %s", "'%s", "é%sß", "it'%s  \t%s ")
-    for c in [*range(0x520), 0x200B, 0x2028, 0x3000, 0x4E00, 0x1F600]:
-        for form in around:
-            text = form.replace("%s", chr(c))
-            ids = library.encode(text, add_special_tokens=False).ids
-            assert np.frombuffer(codes.encode(text), codes.kind).tolist() == ids
-    text = "a<|endoftext|>b"
+    around += ("\n%s's", ".'%s '%s", "%s\n\n \n%s\r ", "a-%s_%s--9", "don't%s'll I'VE %s''s")
+    some = [*range(0x520), 0x200B, 0x2028, 0x3000, 0x4E00, 0x1F600]
+    texts = [form.replace("%s", chr(c)) for c in some for form in around]
+    texts += ["", None, "a<|endoftext|>b", "x y"]
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    got = codes.encode(pa.array(texts, pa.string()))
+    assert [np.frombuffer(x, codes.kind).tolist() for x in got] == wanted
+
+
+@given(st.lists(st.text(st.sampled_from("ab1 \n\t.,'stréĆ×\u00a0<|"), max_size=30), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_any_texts_agree(library, texts):
+    codes = token_files.encoder(TOKENIZER)
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = codes.encode(pa.array(texts, pa.string()))
+    assert [np.frombuffer(x, codes.kind).tolist() for x in got] == wanted
+
+
+def test_words_are_kept_in_two_generations(library, monkeypatch):
+    monkeypatch.setattr(token_files, "PIECES", 3)
+    codes = token_files.Encoder(TOKENIZER)
+    text = " ".join(f"w{i % 5} x{i % 3}" for i in range(40))
+    got = codes.encode(pa.array([text, text]))
     ids = library.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(codes.encode(text), codes.kind).tolist() == ids
+    assert [np.frombuffer(x, codes.kind).tolist() for x in got] == [ids, ids]
+    assert len(codes.young) <= 3 and len(codes.old) <= 3
