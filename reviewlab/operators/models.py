@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.operators.encoding import feature_names, with_fold
+from reviewlab.operators.staged import STAGED, Search
+from reviewlab.operators.staged import search as staged_search
 
 CLASSIFIERS = {
     "lr": LogisticRegression,
@@ -107,15 +109,18 @@ def tune(
     folds: int | None = None,
     features: str | None = None,
     fold_column: str | None = "fold",
-    parallelism: int = 4,
+    parallelism: int = 8,
     score_column: str = "rawPrediction",
     key: str = "order_id",
+    staged: bool = True,
     **fixed,
-) -> CrossValidatorModel:
+) -> CrossValidatorModel | Search:
     """Grid search by cross-validated area under ROC.
 
     ``fold_column`` keeps the rows of a key in one fold; it is computed here for the number of
-    folds where ``train`` has the key. Grid points of a fold are fitted ``parallelism`` at a time.
+    folds where ``train`` has the key. Grid points are fitted ``parallelism`` at a time; those of
+    a tree model that are parts of a larger point are scored from its trees (``operators.staged``),
+    unless ``staged`` is off or there are no fold numbers.
     """
     folds = folds or FOLDS[name]
     if fold_column and key in train.columns:
@@ -125,6 +130,10 @@ def tune(
     if max(values.get("maxDepth", [0])) >= DEEP:
         kept["cacheNodeIds"] = True
     estimator = classifier(name, features, **{**kept, **fixed})
+    if staged and name in STAGED and fold_column and score_column == "rawPrediction":
+        grid(estimator, values)  # refuses names the estimator doesn't have
+        found = evaluator(score_column)
+        return staged_search(train, name, estimator, values, found, folds, fold_column, parallelism)
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid(estimator, values),
@@ -152,7 +161,7 @@ def _frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame
     return spark.createDataFrame(list(rows), schema)
 
 
-def grid_scores(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
+def grid_scores(spark: SparkSession, found: CrossValidatorModel | Search) -> DataFrame:
     """(point, param, value, metric): mean metric of every grid point over the folds."""
     rows = [
         (i, p.name, str(v), float(metric))
@@ -162,7 +171,7 @@ def grid_scores(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
     return _frame(spark, rows, "point int, param string, value string, metric double")
 
 
-def best_params(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
+def best_params(spark: SparkSession, found: CrossValidatorModel | Search) -> DataFrame:
     """(param, value) of the searched parameters, read from the best model itself."""
     names = sorted({p.name for point in found.getEstimatorParamMaps() for p in point})
     best = found.bestModel
