@@ -28,7 +28,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.session import scratch_path
+from reviewlab.session import scratch_path, shared_folder
+
+# A fit's rows are in partitions of at least so many: every level of every tree is a job of its own,
+# and on little data the tasks' start is most of its time.
+PARTITION_ROWS = 20_000
+# Up to so many rows a tree is walked again at every level rather than node numbers remembered.
+WALKED_ROWS = 1_000_000
+# Boosting cuts its lineage, which holds the trees so far, after so many rounds.
+CUT_ROUNDS = 2
 
 # The parameters whose smaller values are parts of the fit with the largest.
 STAGED = {"dt": ("maxDepth",), "rf": ("maxDepth", "numTrees"), "gbt": ("maxIter",)}
@@ -208,14 +216,21 @@ def search(
     fits = [dict(zip(shared, combo)) for combo in itertools.product(*shared.values())]
     units = [(fold, i) for fold in range(folds) for i in range(len(fits))]
     units.sort(key=lambda u: -fits[u[1]].get("maxDepth", 0))
-    features = estimator.getFeaturesCol()
+    features, rows = estimator.getFeaturesCol(), train.count()
+    partitions = rows // PARTITION_ROWS + 1
+    if rows <= WALKED_ROWS:
+        estimator.setParams(cacheNodeIds=False)
+    if name == "gbt":
+        shared_folder(spark)
+        estimator.setParams(checkpointInterval=CUT_ROUNDS)
 
     def areas(unit: tuple[int, int]) -> np.ndarray:
         fold, i = unit
         most = {"maxDepth": max(depths)} if depths != [None] else {}
         most |= {count: max(counts)} if count else {}
         params = {estimator.getParam(p): v for p, v in {**fits[i], **most}.items()}
-        model = estimator.fit(train.filter(F.col(fold_column) != fold), params)
+        others = train.filter(F.col(fold_column) != fold)
+        model = estimator.fit(others.coalesce(partitions), params)
         held_out = train.filter(F.col(fold_column) == fold).select("label", features)
         scores = point_scores(trees(model, spark), F.col(features), spark, depths, counts)
         scored = held_out.select("label", scores.alias("scores")).persist()
