@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.catalog.registry import query
+from reviewlab.catalog.roles_sql import with_roles
 from reviewlab.operators import encoding as en
+from reviewlab.operators import features as ft
+from reviewlab.operators.sets import SetEncoder, level_counts
+from reviewlab.plans import base_table as bt
 from reviewlab.sources import adapters as A
 
 
@@ -91,6 +95,51 @@ def formula_features_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir, "keep")
 
 
+# -- joined names -----------------------------------------------------------------------------
+
+PROFILE = ("products", "product_features", "clean_products", "items", "item_features", "item_profile")
+
+
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    products = bt.clean_products(A.products(spark, sf_dir))
+    return ft.order_item_profile(A.items(spark, sf_dir), products).select("order_id", "category")
+
+
+@query(
+    "category_levels",
+    with_roles(*PROFILE)
+    + """select level, count(*) as orders, row_number() over (order by count(*) desc, level) - 1
+             as place
+         from (select unnest(string_split(category, ', ')) as level from item_profile)
+         group by level""",
+)
+def category_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of the category column and their places in the vector."""
+    rows = profile(spark, sf_dir)
+    model = SetEncoder(inputCol="category", outputCol="category").fit(rows)
+    places = [(level, i) for i, level in enumerate(model.getOrDefault("levels"))]
+    found = spark.createDataFrame(places, "level string, place long")
+    counts = level_counts(rows, "category").withColumnRenamed("rows", "orders")
+    return counts.join(found, "level").select("level", "orders", "place")
+
+
+@query(
+    "category_flags",
+    with_roles(*PROFILE)
+    + """select order_id, 'category_' || unnest(string_split(category, ', ')) as feature
+         from item_profile where category is not null""",
+)
+def category_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the model input that are 1 for an order: one per name of its category."""
+    rows = profile(spark, sf_dir).withColumn("review", F.lit(1))
+    encoder = en.build_stages(scale=False, sets=["category"])
+    coded = encoder.fit(rows).transform(rows)
+    names = F.array(*[F.lit(n) for n in en.feature_names(coded)])
+    pairs = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
+    entries = coded.select("order_id", F.inline(pairs))
+    return entries.filter("value = 1").select("order_id", "feature")
+
+
 CHI_FEATURES = ["l_linenumber", "l_quantity", "l_linestatus"]
 
 

@@ -19,12 +19,14 @@ from pyspark.sql.types import StringType
 from pyspark.storagelevel import StorageLevel
 
 from reviewlab.functions.expressions import key_bucket
+from reviewlab.operators.sets import SetEncoder
 from reviewlab.session import shared_folder
 
-# Label and key of the review model, shares of the split, size of the selection.
+# Label, key and joined-name columns of the review model, shares of the split, size of the selection.
 LABEL = "review"
 KEY = "order_id"
 FORMULA = "review ~ . - order_id"
+SETS = ("category",)
 TRAIN_SHARE = 0.7
 SPLIT_SEED = 123
 SELECTED_FEATURES = 15
@@ -73,10 +75,22 @@ def selector(
 
 
 def build_stages(
-    text: str = FORMULA, handle_invalid: str = "skip", scale: bool = True, select: int | None = None
+    text: str = FORMULA,
+    handle_invalid: str = "skip",
+    scale: bool = True,
+    select: int | None = None,
+    sets: Iterable[str] = (),
+    max_levels: int | None = None,
 ) -> Pipeline:
-    """Formula encoder, then scaling, then selection, each with an output column of its own."""
-    stages: list[Estimator] = [formula(text, handle_invalid)]
+    """Formula encoder, then scaling, then selection, each with an output column of its own.
+
+    ``sets`` are text columns of joined names, which get an entry per name before the formula sees
+    them (``operators.sets``); none of their names is left out, and unknown ones count for nothing.
+    """
+    stages: list[Estimator] = [
+        SetEncoder(inputCol=c, outputCol=c, maxLevels=max_levels or 0) for c in sets
+    ]
+    stages.append(formula(text, handle_invalid))
     if scale:
         stages.append(scaler())
     if select is not None:
@@ -140,15 +154,22 @@ def cap_levels(
     return joined.withColumn(column, level).select(*df.columns)
 
 
-def bound_levels(df: DataFrame, max_levels: int, key: str = KEY) -> DataFrame:
-    """Let each text column but the key keep its ``max_levels`` most frequent levels.
+def set_columns(df: DataFrame) -> list[str]:
+    """The columns of joined names that a table has as text."""
+    return [c for c in SETS if c in df.columns and isinstance(df.schema[c].dataType, StringType)]
+
+
+def bound_levels(
+    df: DataFrame, max_levels: int, key: str = KEY, sets: Iterable[str] = ()
+) -> DataFrame:
+    """Let each text column but the key and the sets keep its ``max_levels`` most frequent levels.
 
     An encoder's levels are part of the model and pass through the driver. Rarer ones become
     null, which an encoder that keeps unknown levels turns into all zeros, just as it does with
     levels that first occur at scoring.
     """
     for field in df.schema.fields:
-        if isinstance(field.dataType, StringType) and field.name != key:
+        if isinstance(field.dataType, StringType) and field.name not in (key, *sets):
             df = cap_levels(df, field.name, max_levels, other=None)
     return df
 

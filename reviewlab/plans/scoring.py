@@ -25,8 +25,9 @@ def fit_final(
     Unknown levels are kept, so that every order with complete features gets a prediction.
     """
     base = en.stage_for_training(base, durable=durable)
-    labelled = base if max_levels is None else en.bound_levels(base, max_levels, key)
-    encoder = en.build_stages(formula, "keep").fit(labelled)
+    sets = en.set_columns(base)
+    labelled = base if max_levels is None else en.bound_levels(base, max_levels, key, sets)
+    encoder = en.build_stages(formula, "keep", sets=sets, max_levels=max_levels).fit(labelled)
     encoded = encoder.transform(labelled).select("features", "scaledFeatures", "label").persist()
     model = md.preset(name, **params).fit(encoded)
     encoded.unpersist()

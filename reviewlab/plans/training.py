@@ -45,13 +45,15 @@ def prepare(
 ) -> Prepared:
     """Split by key, fit the encoder on the training side only, encode and stage both sides.
 
-    Every level of a text column is encoded, unless the caller bounds them by ``max_levels``.
+    Every level of a text column, and every name of a column of joined names, is encoded, unless
+    the caller bounds them by ``max_levels``.
     """
     base = en.stage_for_training(base, partitions, durable)
     train, test = en.split(base, key=key)
+    sets = en.set_columns(base)
     if max_levels is not None:
-        train = en.bound_levels(train, max_levels, key)
-    encoder = en.build_stages(formula, handle_invalid).fit(train)
+        train = en.bound_levels(train, max_levels, key, sets)
+    encoder = en.build_stages(formula, handle_invalid, sets=sets, max_levels=max_levels).fit(train)
     columns = [key, "features", "scaledFeatures", "label"]
     encoded_train = en.with_fold(encoder.transform(train).select(*columns), folds, key).persist()
     encoded_test = encoder.transform(test).select(*columns).persist()
