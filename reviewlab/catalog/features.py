@@ -16,6 +16,8 @@ from reviewlab.functions.expressions import elapsed_days
 from reviewlab.operators import cleaning as cl
 from reviewlab.operators import features as ft
 from reviewlab.plans import base_table as bt
+from reviewlab.plans import state as st
+from reviewlab.session import scratch_path
 from reviewlab.sources import adapters as A
 
 
@@ -93,6 +95,66 @@ def orders_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# An earlier slice of the orders, as it might be scored long after training.
+SLICE = "order_purchase_timestamp < timestamp '1998-01-01'"
+
+
+def _state(spark: SparkSession, orders: DataFrame) -> st.FeatureState:
+    """Learnt, saved and loaded again."""
+    path = scratch_path(spark, "state")
+    st.learn(bt.clean_orders(orders)).save(path)
+    return st.load(spark, path)
+
+
+@query(
+    "feature_state",
+    with_roles("purchases", "clean_purchases", "history")
+    + """select customer_id, order_count, first_order_date, last_order_date,
+         (select max(order_purchase_timestamp) from clean_purchases) as as_of from history""",
+)
+def feature_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = _state(spark, A.orders(spark, sf_dir))
+    return state.history.withColumn("as_of", F.lit(state.as_of))
+
+
+@query(
+    "scored_slice",
+    with_roles("purchases", "clean_purchases", "history", "order_side")
+    + f"""select order_id, customer_id, order_count, first_order_date, last_order_date, recency,
+         is_repeated_customer from order_side where {SLICE}""",
+)
+def scored_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of an earlier time, scored alone, have the features they had in training."""
+    orders = A.orders(spark, sf_dir)
+    side = bt.order_side(orders.filter(SLICE), state=_state(spark, orders))
+    return side.select(
+        "order_id",
+        "customer_id",
+        "order_count",
+        "first_order_date",
+        "last_order_date",
+        "recency",
+        "is_repeated_customer",
+    )
+
+
+@query(
+    "scored_later_orders",
+    with_roles("purchases", "clean_purchases", "history")
+    + f"""select order_id, h.order_count, h.last_order_date,
+         cast(date_diff('day', h.last_order_date, (select max(order_purchase_timestamp)
+              from clean_purchases where {SLICE})) as integer) as recency,
+         case when h.order_count > 1 then 1 else 0 end as is_repeated_customer
+         from clean_purchases join history h using (customer_id) where not {SLICE}""",
+)
+def scored_later_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders bought after training add to their customers' history."""
+    orders = A.orders(spark, sf_dir)
+    state = _state(spark, orders.filter(SLICE))
+    side = bt.order_side(orders.filter(f"not {SLICE}"), state=state)
+    return side.select("order_id", "order_count", "last_order_date", "recency", "is_repeated_customer")
+
+
 @query(
     "item_features",
     with_roles("items", "item_features")

@@ -16,6 +16,7 @@ from reviewlab.operators import models as md
 from reviewlab.operators.joins import attach
 from reviewlab.plans import base_table as bt
 from reviewlab.plans import scoring as sc
+from reviewlab.plans import state as st
 from reviewlab.plans import training as tr
 from reviewlab.session import scratch_path
 from reviewlab.sources import adapters as A
@@ -28,7 +29,8 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = A.tables(spark, sf_dir, labelled=False)
-    return bt.build_base_table(tables, payment_types=A.PAYMENT_TYPES)
+    state = st.learn(bt.clean_orders(tables.orders))
+    return sc.scoring_table(tables, state, payment_types=A.PAYMENT_TYPES)
 
 
 def _train(name: str):
@@ -196,8 +198,10 @@ def saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of a model saved to the shared folder and loaded again."""
     encoder, model = sc.fit_final(labelled(spark, sf_dir), "dt")
     path = scratch_path(spark, "model")
-    sc.save_model(encoder, model, path)
-    scored = sc.load_model(path).transform(unlabelled(spark, sf_dir))
+    tables = A.tables(spark, sf_dir, labelled=False)
+    sc.save_model(encoder, model, path, st.learn(bt.clean_orders(tables.orders)))
+    base = sc.scoring_table(tables, sc.load_state(spark, path), payment_types=A.PAYMENT_TYPES)
+    scored = sc.load_model(path).transform(base)
     return scored.select("order_id", "prediction")
 
 

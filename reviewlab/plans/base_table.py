@@ -17,6 +17,7 @@ from reviewlab.operators.cleaning import (
     parse_timestamps,
 )
 from reviewlab.operators.joins import attach
+from reviewlab.plans.state import FeatureState
 from reviewlab.sources.schemas import ORDER_TIMESTAMPS, REVIEW_TIMESTAMPS
 from reviewlab.sources.tables import Tables
 
@@ -48,8 +49,15 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     return one_per_key(drop_nulls(parse_timestamps(orders, ORDER_TIMESTAMPS)), "order_id")
 
 
-def order_side(orders: DataFrame, as_of=None, history: DataFrame | None = None) -> DataFrame:
+def order_side(
+    orders: DataFrame,
+    as_of=None,
+    history: DataFrame | None = None,
+    state: FeatureState | None = None,
+) -> DataFrame:
     cleaned = clean_orders(orders)
+    if state is not None:
+        history = state.history_of(cleaned)
     return ft.delivery_features(ft.with_customer_history(cleaned, as_of, history))
 
 
@@ -68,6 +76,7 @@ def build_base_table(
     history: DataFrame | None = None,
     keep_helpers: bool = False,
     money_scale: int | None = MONEY_SCALE,
+    state: FeatureState | None = None,
 ) -> DataFrame:
     """Join orders to their items, payments and (for training) last review; drop incomplete rows.
 
@@ -76,12 +85,15 @@ def build_base_table(
     describes an order by one product. ``keep_helpers`` leaves the columns that the correlation
     report needs and the models must not see.
 
+    ``state`` holds the customers' history that a model was trained with (``plans.state``); a table
+    to be scored takes it, so that the same order has the same features in both.
+
     There is one row per order id and per product id, and incomplete items and payments are left
     out before they are summed, so repeated keys and NaN amounts change no other order.
     """
     if payment_grain not in ("order", "row"):
         raise ValueError(f"payment_grain must be 'order' or 'row', not {payment_grain!r}")
-    base = order_side(tables.orders, as_of, history)
+    base = order_side(tables.orders, as_of, history, state)
     profile = ft.order_item_profile(
         drop_nulls(tables.items),
         clean_products(tables.products),

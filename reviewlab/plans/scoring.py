@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.operators import encoding as en
 from reviewlab.operators import models as md
-from reviewlab.sources.tables import export_predictions
+from reviewlab.plans.base_table import build_base_table
+from reviewlab.plans.state import FeatureState, load
+from reviewlab.sources.tables import Tables, export_predictions
 
 
 def fit_final(
@@ -35,6 +39,14 @@ def fit_final(
     return encoder, model
 
 
+def scoring_table(tables: Tables, state: FeatureState, **options) -> DataFrame:
+    """The base table of orders without reviews, with the history the model was trained with."""
+    if state is None:
+        raise ValueError("scoring needs the feature state of the training orders")
+    unlabelled = replace(tables, reviews=None)
+    return build_base_table(unlabelled, state=state, **options)
+
+
 def score_orders(
     encoder: PipelineModel, model: Model, base: DataFrame, key: str = en.KEY
 ) -> DataFrame:
@@ -67,10 +79,19 @@ def score_and_export(
     return scored
 
 
-def save_model(encoder: PipelineModel, model: Model, path: str) -> None:
-    """Encoder and classifier as one saved model."""
+def save_model(
+    encoder: PipelineModel, model: Model, path: str, state: FeatureState | None = None
+) -> None:
+    """Encoder and classifier as one saved model, with the feature state beside it."""
     PipelineModel(stages=[*encoder.stages, model]).write().overwrite().save(path)
+    if state is not None:
+        state.save(f"{path.rstrip('/')}-state")
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_state(spark: SparkSession, path: str) -> FeatureState:
+    """The feature state saved with a model."""
+    return load(spark, f"{path.rstrip('/')}-state")
