@@ -4,19 +4,29 @@ A window without a partition key would move the table to one task. Here the valu
 into buckets of about equal row count; totals run inside each bucket in parallel, and the sums of
 the earlier buckets, one row per bucket, are added to them. The cut points only balance the work:
 the totals are exact wherever they lie.
+
+A bucket with more than ``BUCKET_ROWS`` rows of differing values is cut again by the quantiles of
+its own rows, until there is none, so a bucket's work doesn't grow with the table; a value that is
+very frequent gets a bucket to itself, in which there is nothing to order. There is about one bucket
+for every ``BUCKET_ROWS`` rows, and one number for each on the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Least number of buckets; a session with more shuffle partitions gets one for each of them.
+# Least number of buckets; a session with more shuffle partitions gets one for each of them. The
+# first pass makes no more than MAX_BUCKETS, the later ones as many as the rows need.
 MIN_BUCKETS = 256
 MAX_BUCKETS = 10_000
+BUCKET_ROWS = 1_000_000
+# A bucket that is too full is cut into so many at a time.
+SPLITS = 16
 
 
 def bucket_number(df: DataFrame) -> int:
@@ -25,9 +35,54 @@ def bucket_number(df: DataFrame) -> int:
 
 
 def cut_points(
+    df: DataFrame,
+    columns: Sequence[str],
+    buckets: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+) -> list[list[float]]:
+    """Ascending bucket edges per column, from one approximate-quantile pass and refinement."""
+    edges = first_cuts(df, columns, buckets)
+    if df.limit(bucket_rows + 1).count() <= bucket_rows:
+        return edges
+    while (finer := refined(df, columns, edges, bucket_rows)) != edges:
+        edges = finer
+    return edges
+
+
+def refined(
+    df: DataFrame, columns: Sequence[str], edges: Sequence[Sequence[float]], bucket_rows: int
+) -> list[list[float]]:
+    """The edges, with more of them inside the buckets that are too full."""
+    values = bucketed_long(df, columns, edges)
+    full = values.groupBy("column", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    full = full.filter((F.col("n") > bucket_rows) & (F.col("low") < F.col("high")))
+    found = full.collect()  # fewer than the rows / bucket_rows
+    if not found:
+        return [list(e) for e in edges]
+    places = [(r["column"], r["bucket"]) for r in found]
+    wanted = df.sparkSession.createDataFrame(places, "column string, bucket int")
+    shares = [i / SPLITS for i in range(1, SPLITS)]
+    inner = (
+        values.join(F.broadcast(wanted), ["column", "bucket"])
+        .groupBy("column", "bucket")
+        .agg(F.percentile_approx("value", shares, 10 * SPLITS).alias("cuts"))
+    )
+    cuts = {(r["column"], r["bucket"]): r["cuts"] for r in inner.collect()}
+    finer = [set(e) for e in edges]
+    for r in found:
+        own = cuts[r["column"], r["bucket"]]
+        # a value on several cuts is frequent: it is cut off from the next greater one
+        often = [c for c in set(own) if own.count(c) > 1]
+        new = {*own, *(math.nextafter(c, math.inf) for c in [*often, r["low"]])}
+        finer[columns.index(r["column"])] |= {c for c in new if r["low"] < c <= r["high"]}
+    return [sorted(e) for e in finer]
+
+
+def first_cuts(
     df: DataFrame, columns: Sequence[str], buckets: int | None = None
 ) -> list[list[float]]:
-    """Ascending bucket edges per column, from one approximate-quantile pass."""
     buckets = buckets or bucket_number(df)
     probabilities = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(list(columns), probabilities, 0.5 / buckets)
@@ -113,7 +168,7 @@ def running_totals(
     sums = per_value.groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
     offsets = bucket_offsets(sums, by, names, descending)
     inside = Window.partitionBy(*group).orderBy(F.desc(value) if descending else F.asc(value))
-    # one row per bucket (and column): at most MAX_BUCKETS rows for each of a few columns
+    # one row per bucket (and column): the rows of the table / BUCKET_ROWS, or MAX_BUCKETS
     joined = per_value.join(F.broadcast(offsets), group)
     return joined.select(
         *by,

@@ -108,3 +108,37 @@ def test_vif_of_dependent_columns_is_huge(spark):
     data = [(i, 2 * i, (i * 7) % 5) for i in range(1, 30)]
     got = {r["feature"]: r["vif"] for r in st.vif(matrix(spark, data, "abc"), list("abc")).collect()}
     assert abs(got["a"]) > 1e8 or np.isinf(got["a"])
+
+
+@pytest.mark.parametrize("first", [2, 5])
+def test_buckets_stay_bounded(spark, first):
+    """Skew, one very frequent value, infinities: no bucket to be ordered has more rows than asked."""
+    n = 6000
+    x = F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.exp(F.col("id") % 1999 / 100.0))
+    x = F.when(F.col("id") == 1, F.lit(float("inf"))).when(F.col("id") == 2, F.lit(-1e300)).otherwise(x)
+    df = spark.range(n).select(x.alias("x"), (F.col("id") % 5).cast("double").alias("y"))
+    for rows in (1000, 50):
+        edges = cut_points(df, ["x", "y"], first, bucket_rows=rows)
+        for name, own in zip(("x", "y"), edges):
+            sizes = bucketed(df, name, own).groupBy("bucket").agg(
+                F.count(F.lit(1)).alias("n"), F.count_distinct(name).alias("values")
+            )
+            assert sizes.filter((F.col("n") > rows) & (F.col("values") > 1)).isEmpty()
+    assert cut_points(df, ["x"], first, bucket_rows=n) == cut_points(df, ["x"], first)
+
+
+def test_refined_buckets_give_the_same_numbers(spark, monkeypatch):
+    from reviewlab.operators import evaluation as ev
+    from reviewlab.operators import ranking
+    from reviewlab.operators import statistics as stats
+
+    df = spark.range(3000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(700)) / 7).alias("score"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).cast("int").alias("label"),
+    )
+    whole = sorted(stats.quantiles(df, ["score"], [0.1, 0.5, 0.93]).collect()), ev.auc_roc(df).first()
+    plain = cut_points(df, ["score"], 3)
+    monkeypatch.setattr(ranking.cut_points, "__defaults__", (None, 40))
+    assert len(cut_points(df, ["score"], 3)[0]) > len(plain[0])
+    fine = sorted(stats.quantiles(df, ["score"], [0.1, 0.5, 0.93], 3).collect()), ev.auc_roc(df, buckets=3).first()
+    assert fine[0] == whole[0] and fine[1].auc == pytest.approx(whole[1].auc, abs=1e-12)
