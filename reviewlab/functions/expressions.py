@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Amounts are summed as decimals with this many places, which gives the same total whatever order
-# the partitions arrive in.
+# the partitions arrive in. Those from 10^18 on are summed as whole numbers, which they are.
 MONEY_SCALE = 10
 
 
@@ -20,21 +20,44 @@ def ratio(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def money_units(c: str | Column, scale: int = MONEY_SCALE) -> Column:
-    """The amount as a decimal; null where it is no number."""
+    """The amount as a decimal; null where it is no number or 10^18 or more."""
     return as_col(c).try_cast(f"decimal(28,{scale})")
 
 
+def _large_units(c: str | Column, scale: int) -> Column:
+    """An amount of 10^18 up to 10^28 as a whole number; null for any other."""
+    return F.when(money_units(c, scale).isNull(), as_col(c).try_cast("decimal(28,0)"))
+
+
+def _remainder(c: str | Column, scale: int) -> Column:
+    """What the decimals lose of an amount: all of one from 10^28 on, and the later places of one
+    so small that they matter (below 10^-5 for ten places). Else zero: the places that rounding
+    takes from larger amounts are noise of binary fractions. Null for null, NaN and infinity,
+    which are no amounts."""
+    x = as_col(c).cast("double")
+    units = money_units(c, scale).cast("double")
+    lost = F.when(F.abs(x) < 10.0 ** -(scale / 2), x - units)
+    lost = lost.when(units.isNotNull() | _large_units(c, scale).isNotNull(), 0.0).otherwise(x)
+    return F.when(F.abs(x) < float("inf"), lost)
+
+
 def money_total(c: str | Column, scale: int | None = MONEY_SCALE) -> Column:
-    """Sum of a money column as double; exact unless ``scale`` is None."""
+    """Sum of a money column as double, null where there is no amount; NaN and infinity are none.
+
+    The decimal parts are exact in any order; remainders are added as doubles. With ``scale`` None
+    the whole sum is one of doubles.
+    """
     if scale is None:
         return F.sum(as_col(c))
-    return F.sum(money_units(c, scale)).cast("double")
+    parts = [F.sum(money_units(c, scale)), F.sum(_large_units(c, scale))]
+    units, large = (F.coalesce(p.cast("double"), F.lit(0.0)) for p in parts)
+    return large + units + F.sum(_remainder(c, scale))
 
 
 def money_mean(c: str | Column, scale: int | None = MONEY_SCALE) -> Column:
     if scale is None:
         return F.avg(as_col(c))
-    return F.try_divide(money_total(c, scale), F.count(money_units(c, scale)))
+    return F.try_divide(money_total(c, scale), F.count(_remainder(c, scale)))
 
 
 def days_between(end: str | Column, start: str | Column) -> Column:

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from reviewlab.functions.expressions import money_mean, money_total
 from reviewlab.operators import features as ft
 
 ITEMS = "order_id string, order_item_id int, product_id string, price double, shipping_cost double"
@@ -184,3 +185,35 @@ def test_money_keeps_small_amounts_and_leaves_out_nan(spark):
     assert got["o"].total_price == 20.00008
     assert got["o"].avg_price >= got["o"].min_price
     assert got["n"].total_price is None
+
+
+@pytest.mark.parametrize(
+    "amounts, total",
+    [
+        ([1e18, 5.0], 1e18 + 5.0),
+        ([1e18, 300.0, 200.0], 1e18 + 500.0),
+        ([1e18, 1e18, -2e18, 7.25], 7.25),
+        ([1e-12, 2e-12], 3e-12),
+        ([0.1] * 10, 1.0),
+        ([1e30, 5.0, -1e30], 5.0),
+        ([float("nan"), 2.0, float("inf"), None], 2.0),
+        ([float("nan"), None], None),
+    ],
+)
+def test_no_amount_is_lost(spark, amounts, total):
+    for order in (amounts, amounts[::-1]):
+        df = spark.createDataFrame([(a,) for a in order], "a double").coalesce(1)
+        got = df.agg(money_total("a").alias("t"), money_mean("a").alias("m")).first()
+        n = sum(a is not None and abs(a) < float("inf") for a in amounts)
+        assert got.t == (None if total is None else pytest.approx(total, rel=1e-15))
+        assert got.m == (None if total is None else pytest.approx(total / n, rel=1e-15))
+
+
+def test_large_amounts_in_order_features(spark):
+    rows = [(1, 1, 9, 1e18, 5.0), (1, 2, 9, 5.0, 1e-12)]
+    items = spark.createDataFrame(
+        rows, "order_id int, order_item_id int, product_id int, price double, shipping_cost double"
+    )
+    got = ft.item_order_agg(ft.item_features(items)).first()
+    assert (got.total_price, got.max_price, got.avg_price) == (1e18, 1e18, 5e17)
+    assert got.total_shipping_cost == 5.000000000001
