@@ -183,27 +183,26 @@ def test_jaccard_groups(spark, n, percent):
         assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), root(r.doc_id))
 
 
-def plain_spans(text):
+def plain_runs(text, most=40):
+    """(sentences, all runs of up to ``most`` of them that count as repeated if elsewhere)."""
     pieces = [p for p in re.split(r"(?<=[.!?]\s)(?!\s)|(?<=\n)(?!\s)", text)]
-    words = [p.lower().split() for p in pieces]
+    words = [tuple(p.lower().split()) for p in pieces]
     out = []
     for i in range(len(pieces)):
-        if len(words[i]) >= substring_dedup.MIN_SINGLE:
-            out.append((i, i + 1))
-            continue
-        for j in range(i + 2, len(pieces) + 1):
-            if sum(map(len, words[i:j])) >= substring_dedup.MIN_WORDS:
-                out.append((i, j))
-                break
-    return pieces, [(tuple(map(tuple, words[i:j])), i, j) for i, j in out]
+        total = 0
+        for j in range(i + 1, min(i + most, len(pieces)) + 1):
+            total += len(words[j - 1])
+            if total >= (substring_dedup.MIN_SINGLE if j == i + 1 else substring_dedup.MIN_WORDS):
+                out.append((tuple(words[i:j]), i, j))
+    return pieces, out
 
 
 def test_substring_dedup(spark, texts):
     first, cut, gone = {}, {}, {}
     for doc in sorted(texts):
-        pieces, spans = plain_spans(texts[doc])
+        pieces, runs = plain_runs(texts[doc])
         cut[doc], gone[doc] = pieces, set()
-        for words, i, j in spans:
+        for words, i, j in runs:
             if words in first:
                 gone[doc] |= set(range(i, j))
             else:
