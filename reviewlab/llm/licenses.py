@@ -27,6 +27,8 @@ from reviewlab.llm.frames import small, written
 from reviewlab.llm.words import bound, folded, split_words
 
 DICE = 0.8
+# Templates are broadcast, each with all its bigrams, up to this many.
+MOST_TEMPLATES = 5_000
 # Notices that stand in texts for a licence.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -154,10 +156,11 @@ def scan(
     n = F.size("known")
     least, most = F.ceil(n * (dice / (2 - dice))), F.floor(n * ((2 - dice) / dice))
     sizes = known.select("template", "known", F.explode(F.sequence(least, most)).alias("size"))
-    pieces = docs.select(
-        docs[key].alias("key"),
-        F.posexplode(F.split(docs[text], separator)).alias("line", "piece"),
-    )
+    known = known.withColumn("least", least)
+    rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
+    held = licensed(rows, known)
+    texts = rows.join(small(_renamed(held.select("key", "code").distinct())), _same(rows), "left_semi")
+    pieces = texts.select("key", F.posexplode(F.split("text", separator)).alias("line", "piece"))
     # a piece of a bigrams has at least a + 1 words, so as many gaps and characters
     longest = sizes.agg(F.max("size")).first()[0] or 0
     sized = (
@@ -171,8 +174,7 @@ def scan(
         .select("key", "line", "template", _score(F.col("own"), F.col("known")).alias("dice"))
         .filter(F.col("dice") >= dice)
     )
-    rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    found = lines.union(windows(rows, known.withColumn("least", least), dice, separator))
+    found = lines.union(windows(rows, held, known, dice, separator))
     return found.select(F.col("key").alias(key), F.col("line").cast("long").alias("line"), "template", "dice")
 
 
@@ -180,16 +182,38 @@ def _score(own: Column, known: Column) -> Column:
     return F.lit(2.0) * F.size(F.array_intersect(own, known)) / (F.size(own) + F.size(known))
 
 
-def windows(rows: DataFrame, known: DataFrame, dice: float, separator: str) -> DataFrame:
-    """(key, line, template, dice) of the windows of (key, text) rows that match a template."""
-    code = F.xxhash64("text")
+def licensed(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, code, template) of the (key, text) rows with bigrams enough for a match anywhere.
+
+    Of two sets of a and n bigrams that match, the smaller's share of the larger bounds what they
+    have in common from below, for a line of the text as for a window.
+    """
     bigram = known.select("template", "least", F.explode("known").alias("bigram"))
-    held = rows.select("key", code.alias("code"), F.explode(bigrams(F.col("text"))).alias("bigram"))
+    code = F.xxhash64("text").alias("code")
+    held = rows.select("key", code, F.explode(bigrams(F.col("text"))).alias("bigram"))
     # rows repeated in full are counted together, which can only let more through
     held = held.join(small(bigram), "bigram").groupBy("key", "code", "template", "least").count()
-    held = written(held.filter("count >= least").select("key", "code", "template"), "licensed")
-    likely = small(held.join(known, "template").withColumnsRenamed({"key": "_key", "code": "_code"}))
-    same = rows["key"].eqNullSafe(F.col("_key")) & (code == F.col("_code"))
+    return written(held.filter("count >= least").select("key", "code", "template"), "licensed")
+
+
+def _renamed(held: DataFrame) -> DataFrame:
+    return held.withColumnsRenamed({"key": "_key", "code": "_code"})
+
+
+def _same(rows: DataFrame) -> Column:
+    return rows["key"].eqNullSafe(F.col("_key")) & (F.xxhash64(rows["text"]) == F.col("_code"))
+
+
+def windows(
+    rows: DataFrame, held: DataFrame, known: DataFrame, dice: float, separator: str
+) -> DataFrame:
+    """(key, line, template, dice) of the windows of (key, text) rows that match a template.
+
+    ``held`` says which template is looked for in which row; the templates themselves, with all
+    their bigrams, are joined apart.
+    """
+    likely = rows.join(small(_renamed(held)), _same(rows)).select("key", "text", "template")
+    likely = likely.join(small(known.select("template", "known", "width"), MOST_TEMPLATES), "template")
     width, terms = F.col("width"), F.col("known")
 
     def of_line(line: Column, i: Column) -> Column:
@@ -231,7 +255,7 @@ def windows(rows: DataFrame, known: DataFrame, dice: float, separator: str) -> D
 
         return bound(close, lambda c: F.aggregate(c, F.slice(c, 1, 0), add))
 
-    found = rows.join(likely, same).select(
+    found = likely.select(
         "key", "template", F.explode(bound(F.split("text", separator), matches)).alias("m")
     )
     return found.select("key", "m.line", "template", "m.dice")
