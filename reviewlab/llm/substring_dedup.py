@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.frames import small, written
+from reviewlab.llm.frames import written
 from reviewlab.llm.words import bound, folded
 
 # A sentence ends after . ! ? and white space, and after a line end; more space belongs to it.
@@ -107,7 +107,8 @@ def dedup(
         .filter("least <> most")
         .select("span", F.struct("least.key", "least.code", "least.first").alias("least"))
     )
-    repeated = small(written(repeated, "repeated"))  # written: the join can split a hot span
+    # written, so that the join can split a hot span; at every size it is the same join
+    repeated = written(repeated, "repeated")
     covered = (
         found.join(repeated, "span")
         .filter(~F.struct("key", "code", "first").eqNullSafe(F.col("least")))
