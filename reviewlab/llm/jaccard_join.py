@@ -46,6 +46,9 @@ CLASS_FACTOR = 1.7
 # Bits of a parity sketch, kept as 64-bit words.
 BITS = 512
 SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
+# Bits of the sketch that nodes still apart are compared by where they meet: the short one says
+# nothing about sets of more than about a thousand n-grams, whose allowed differences fill it.
+OPEN_BITS = 2048
 # Bits of the wide sketch that candidate pairs are compared by before their sets are.
 WIDE_BITS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -260,7 +263,7 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
     return df.select("node", "text").mapInArrow(emit, "node bigint, part int, grams array<bigint>")
 
 
-def wide_sketches(df: DataFrame, n: int) -> DataFrame:
+def wide_sketches(df: DataFrame, n: int, size: int = WIDE_BITS) -> DataFrame:
     """(node, wide) of (node, text) rows; a row with another text of the node's key is left out."""
 
     @F.arrow_udf("struct<own:bigint,wide:array<bigint>>")
@@ -268,8 +271,8 @@ def wide_sketches(df: DataFrame, n: int) -> DataFrame:
         own, words = [], []
         for grams in ngram_sets(column, n):
             own.append(node_of(grams))
-            words.append(sketch_of(grams, WIDE_BITS))
-        at = pa.array(np.arange(len(words) + 1) * (WIDE_BITS // 64), pa.int32())
+            words.append(sketch_of(grams, size))
+        at = pa.array(np.arange(len(words) + 1) * (size // 64), pa.int32())
         flat = pa.array(np.concatenate([np.zeros(0, np.int64), *words]))
         columns = [pa.array(own, pa.int64()), pa.ListArray.from_arrays(at, flat)]
         return pa.StructArray.from_arrays(columns, ["own", "wide"])
@@ -283,11 +286,16 @@ def close(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame
     wide = written(wide_sketches(texts, n), "wide")
     for i in "ab":
         pairs = pairs.join(wide.select(F.col("node").alias(i), F.col("wide").alias(f"wide_{i}")), i)
+    near = pairs.filter(_near_wide(percent))
+    return written(near.select("a", "b", "size_a", "size_b"), "close")
+
+
+def _near_wide(percent: int) -> Column:
+    """Whether the wide sketches of a pair allow a link, of a node without one that they do."""
     bits = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, k: total + k)
     least = F.least("size_a", "size_b")
-    near = pairs.filter(percent * differ <= (100 - percent) * least)
-    return written(near.select("a", "b", "size_a", "size_b"), "close")
+    return F.coalesce(percent * differ <= (100 - percent) * least, F.lit(True))
 
 
 def linked(
@@ -299,7 +307,8 @@ def linked(
     """
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    texts = _texts(rows, own, pairs)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    texts = _texts(rows, own, ends)
     pairs = close(pairs, texts, n, percent)
     parts = partitions(texts, n).filter(F.size("grams") > 0)
     # sets go straight to the partition of a, once for every pair and once for a itself
@@ -360,11 +369,14 @@ def groups(
         .select("signature", "node", "component")
     )
     placed = written(placed.join(known, "node"), "open")
+    wide = written(wide_sketches(_texts(rows, own, placed.select("node")), n, OPEN_BITS), "wide")
+    placed = placed.join(wide, "node", "left")
     x, y = (
-        _side(placed, i, "signature", F.col("component").alias(f"component_{i}")) for i in "ab"
+        _side(placed, i, "signature", *(F.col(c).alias(f"{c}_{i}") for c in ("component", "wide")))
+        for i in "ab"
     )
     apart = (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-    on = (x["signature"] == y["signature"]) & apart & _near(percent)
+    on = (x["signature"] == y["signature"]) & apart & _near(percent) & _near_wide(percent)
     second = (
         x.join(y, on)
         .groupBy("a", "b", "size_a", "size_b", "component_a", "component_b")
@@ -434,9 +446,8 @@ def _near(percent: int) -> Column:
     return (100 * least >= percent * most) & (percent * _differ() <= (100 - percent) * least)
 
 
-def _texts(rows: DataFrame, own: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One text for every node of a pair."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+def _texts(rows: DataFrame, own: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One text for every node."""
     keys = own.join(nodes.distinct(), "node").groupBy("node").agg(F.min("key").alias("key"))
     keys = written(keys, "keys")
     return rows.join(small(keys), "key")
