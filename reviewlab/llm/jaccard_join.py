@@ -46,10 +46,9 @@ CLASS_FACTOR = 1.7
 # Bits of a parity sketch, kept as 64-bit words.
 BITS = 512
 SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
-# Bits of the sketch that nodes still apart are compared by where they meet: the short one says
-# nothing about sets of more than about a thousand n-grams, whose allowed differences fill it.
-OPEN_BITS = 2048
-# Bits of the wide sketch that candidate pairs are compared by before their sets are.
+# Bits of the wide sketch that candidate pairs are compared by before their sets are. Nodes still
+# apart are compared by its half where they meet: the short one says nothing about sets of more
+# than about a thousand n-grams, whose allowed differences fill it.
 WIDE_BITS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -263,7 +262,7 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
     return df.select("node", "text").mapInArrow(emit, "node bigint, part int, grams array<bigint>")
 
 
-def wide_sketches(df: DataFrame, n: int, size: int = WIDE_BITS) -> DataFrame:
+def wide_sketches(df: DataFrame, n: int) -> DataFrame:
     """(node, wide) of (node, text) rows; a row with another text of the node's key is left out."""
 
     @F.arrow_udf("struct<own:bigint,wide:array<bigint>>")
@@ -271,8 +270,8 @@ def wide_sketches(df: DataFrame, n: int, size: int = WIDE_BITS) -> DataFrame:
         own, words = [], []
         for grams in ngram_sets(column, n):
             own.append(node_of(grams))
-            words.append(sketch_of(grams, size))
-        at = pa.array(np.arange(len(words) + 1) * (size // 64), pa.int32())
+            words.append(sketch_of(grams, WIDE_BITS))
+        at = pa.array(np.arange(len(words) + 1) * (WIDE_BITS // 64), pa.int32())
         flat = pa.array(np.concatenate([np.zeros(0, np.int64), *words]))
         columns = [pa.array(own, pa.int64()), pa.ListArray.from_arrays(at, flat)]
         return pa.StructArray.from_arrays(columns, ["own", "wide"])
@@ -281,9 +280,16 @@ def wide_sketches(df: DataFrame, n: int, size: int = WIDE_BITS) -> DataFrame:
     return rows.select("node", "s.wide").dropDuplicates(["node"])
 
 
-def close(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def halved(wide: str) -> Column:
+    """The sketch of half as many bits: of two bits that become one, whether they differ."""
+    words = WIDE_BITS // 128
+    return F.zip_with(
+        F.slice(wide, 1, words), F.slice(wide, words + 1, words), lambda x, y: x.bitwiseXOR(y)
+    )
+
+
+def close(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
     """The pairs that differ in few enough bits of their wide sketches; no link is lost."""
-    wide = written(wide_sketches(texts, n), "wide")
     for i in "ab":
         pairs = pairs.join(wide.select(F.col("node").alias(i), F.col("wide").alias(f"wide_{i}")), i)
     near = pairs.filter(_near_wide(percent))
@@ -299,17 +305,24 @@ def _near_wide(percent: int) -> Column:
 
 
 def linked(
-    pairs: DataFrame, rows: DataFrame, own: DataFrame, n: int, percent: int
+    pairs: DataFrame,
+    rows: DataFrame,
+    own: DataFrame,
+    n: int,
+    percent: int,
+    wide: DataFrame | None = None,
 ) -> DataFrame:
     """The (a, b) pairs of nodes whose sets are similar enough.
 
-    ``pairs`` has a, b and their set sizes size_a, size_b, as a written table.
+    ``pairs`` has a, b and their set sizes size_a, size_b, as a written table; ``wide`` has the wide
+    sketches of their nodes, where they are known.
     """
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    texts = _texts(rows, own, ends)
-    pairs = close(pairs, texts, n, percent)
+    if wide is None:
+        wide = written(wide_sketches(_texts(rows, own, _ends(pairs)), n), "wide")
+    pairs = close(pairs, wide, percent)
+    texts = _texts(rows, own, _ends(pairs))
     parts = partitions(texts, n).filter(F.size("grams") > 0)
     # sets go straight to the partition of a, once for every pair and once for a itself
     left = parts.withColumnsRenamed({"node": "a", "grams": "x"})
@@ -369,8 +382,8 @@ def groups(
         .select("signature", "node", "component")
     )
     placed = written(placed.join(known, "node"), "open")
-    wide = written(wide_sketches(_texts(rows, own, placed.select("node")), n, OPEN_BITS), "wide")
-    placed = placed.join(wide, "node", "left")
+    wide = written(wide_sketches(_texts(rows, own, placed.select("node")), n), "wide")
+    placed = placed.join(wide.select("node", halved("wide").alias("wide")), "node", "left")
     x, y = (
         _side(placed, i, "signature", *(F.col(c).alias(f"{c}_{i}") for c in ("component", "wide")))
         for i in "ab"
@@ -390,7 +403,7 @@ def groups(
         F.greatest("component_a", "component_b").alias("y"),
     ).agg(F.min_by(F.struct("a", "b", "size_a", "size_b"), F.struct("differ", "a", "b")).alias("p"))
     best = written(best.select("p.*"), "best")
-    parts = merged(parts, written(linked(best, rows, own, n, percent), "links"))
+    parts = merged(parts, written(linked(best, rows, own, n, percent, wide), "links"))
     # at last all that are still apart
     apart = second.join(best, ["a", "b"], "left_anti").select("a", "b", "size_a", "size_b")
     for i in "ab":
@@ -399,7 +412,7 @@ def groups(
     apart = apart.filter("component_a <> component_b").select("a", "b", "size_a", "size_b")
     apart = written(apart, "apart")
     if not apart.isEmpty():
-        parts = merged(parts, written(linked(apart, rows, own, n, percent), "links"))
+        parts = merged(parts, written(linked(apart, rows, own, n, percent, wide), "links"))
     return labelled(own, parts, key)
 
 
@@ -446,6 +459,10 @@ def _near(percent: int) -> Column:
     return (100 * least >= percent * most) & (percent * _differ() <= (100 - percent) * least)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+
 def _texts(rows: DataFrame, own: DataFrame, nodes: DataFrame) -> DataFrame:
     """One text for every node."""
     keys = own.join(nodes.distinct(), "node").groupBy("node").agg(F.min("key").alias("key"))
