@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlab.llm.arrays import flat_text, mix, slices, spread
+from reviewlab.llm.arrays import flat_text, mix, release, slices, spread
 from reviewlab.llm.frames import merged, shipped, small, written
 
 PARTITIONS = 8
@@ -182,6 +182,7 @@ def sets(df: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> Data
             size.append(len(grams))
             node.append(node_of(grams))
             sketch.append(sketch_of(grams))
+        release()
         words = pa.array(np.concatenate([np.zeros(0, np.int64), *sketch]))
         at = pa.array(np.arange(len(size) + 1) * (BITS // 64), pa.int32())
         columns = [pa.array(size, pa.int64()), pa.array(node, pa.int64())]
@@ -218,6 +219,7 @@ def meetings(df: DataFrame, n: int, percent: int, text: str = "text") -> DataFra
                     signature, node, rows = [], [], 0
             if rows:
                 yield rows_of(signature, node)
+            release()
 
     def rows_of(*columns):
         arrays = [pa.array(np.concatenate(c).view(np.int64)) for c in columns]
@@ -243,6 +245,7 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
                     nodes, kept, rows = [], [], 0
             if rows:
                 yield cut(nodes, kept)
+            release()
 
     def cut(nodes: list[int], grams: list[np.ndarray]) -> pa.RecordBatch:
         flat = np.concatenate(grams)
@@ -271,6 +274,7 @@ def wide_sketches(df: DataFrame, n: int) -> DataFrame:
         for grams in ngram_sets(column, n):
             own.append(node_of(grams))
             words.append(sketch_of(grams, WIDE_BITS))
+        release()
         at = pa.array(np.arange(len(words) + 1) * (WIDE_BITS // 64), pa.int32())
         flat = pa.array(np.concatenate([np.zeros(0, np.int64), *words]))
         columns = [pa.array(own, pa.int64()), pa.ListArray.from_arrays(at, flat)]

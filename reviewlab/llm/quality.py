@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.arrays import flat_text, mix, slices, spread
+from reviewlab.llm.arrays import flat_text, mix, release, slices, spread
 from reviewlab.llm.frames import shipped
 
 MAX_ROWS = 20_000
@@ -128,6 +128,7 @@ def measure(text: Column) -> Column:
         for a, b in slices(offsets):
             parts.append(statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
         flat = np.concatenate(parts)
+        release()
         at = pa.array(np.arange(len(flat) + 1) * len(STATISTICS), pa.int32())
         return pa.ListArray.from_arrays(at, pa.array(flat.ravel()))
 
@@ -245,6 +246,7 @@ def score(df: DataFrame, trees: Trees, text: str = "text", out: str = "score") -
         for a, b in slices(offsets):
             x = statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             done.append(trees.score(x.astype(float)))
+        release()
         return pa.array(np.concatenate(done))
 
     return shipped(df).withColumn(out, probability(F.coalesce(df[text], F.lit(""))))

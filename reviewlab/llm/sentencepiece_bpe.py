@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from reviewlab.llm.arrays import flat_text, one_array, ranges, slices
+from reviewlab.llm.arrays import flat_text, one_array, ranges, release, slices
 from reviewlab.llm.frames import shipped
 
 SPACE = "▁"
@@ -340,6 +340,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
             pieces.encode(column.slice(a, b - a).to_pylist()).cast(pa.list_(pa.int32()))
             for a, b in slices(offsets)
         ]
+        release()
         return pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
 
     return df.withColumn(out, ids(_text(df, text)))
