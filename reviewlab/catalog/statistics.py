@@ -130,39 +130,37 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- correlation and collinearity -------------------------------------------------------------
 
-# The columns of the report that the order-grain base table has under the same name, and its
-# totals in the place of the row-grain payment columns.
-CORRELATED = [
-    {"payment_value": "total_payment_value", "installment_value": "avg_payment_installments"}.get(
-        c, c
-    )
-    for c in st.CORRELATION_COLUMNS
-]
-FULL_BASE = (
-    with_roles(*BASE).rstrip()
+# Both reports read the base table with one row per payment: only there are the value of a payment
+# and of its installments, which the reports name, columns of their own.
+PAYMENT_BASE = (
+    with_roles(*BASE, "payment_features").rstrip()
     + """, base as (select * from order_side join item_profile i using (order_id)
-         join payment_agg p using (order_id) join labels_by_order using (order_id)
+         join (select distinct * from payment_features where installment_value is not null)
+             using (order_id)
+         join labels_by_order using (order_id)
          where i.total_product_density is not null) """
 )
 
 
-def full_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payment_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = A.tables(spark, sf_dir)
-    base = bt.build_base_table(tables, payment_types=A.PAYMENT_TYPES, keep_helpers=True)
+    base = bt.build_base_table(
+        tables, payment_types=A.PAYMENT_TYPES, payment_grain="row", keep_helpers=True
+    )
     return rounded(base)
 
 
 @query(
     "correlation_matrix",
-    FULL_BASE
+    PAYMENT_BASE
     + " union all ".join(
         f"""select '{a}' as "row", '{b}' as col, round(corr({a}, {b}), 6) as r from base"""
-        for a in CORRELATED
-        for b in CORRELATED
+        for a in st.CORRELATION_COLUMNS
+        for b in st.CORRELATION_COLUMNS
     ),
 )
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = st.correlation_matrix(full_base(spark, sf_dir), CORRELATED)
+    found = st.correlation_matrix(payment_base(spark, sf_dir), st.CORRELATION_COLUMNS)
     return found.withColumn("r", F.round("r", 6))
 
 
@@ -200,8 +198,36 @@ def vif_centered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("vif", F.round("vif", 6))
 
 
-@query("vif_base_table")
+def _inverse_sql(columns: list[str]) -> str:
+    """The diagonal of the inverse cosine matrix, one column swept out of it after the other."""
+    k = len(columns)
+    sums = ", ".join(
+        f"sum({columns[i]}::double * {columns[j]}::double) as p{i}_{j}"
+        for i in range(k)
+        for j in range(i, k)
+    )
+    cells = " union all ".join(
+        f"""select {i} as i, {j} as j,
+            p{min(i, j)}_{max(i, j)} / sqrt(p{i}_{i} * p{j}_{j}) as v from sums"""
+        for i in range(k)
+        for j in range(k)
+    )
+    sweeps = "".join(
+        f""", m{c + 1} as materialized (
+            select m.i, m.j, case when m.i = {c} and m.j = {c} then 1 / d.v
+                when m.i = {c} then m.v / d.v when m.j = {c} then -m.v / d.v
+                else m.v - r.v * l.v / d.v end as v
+            from m{c} m join m{c} d on d.i = {c} and d.j = {c}
+            join m{c} r on r.i = m.i and r.j = {c} join m{c} l on l.i = {c} and l.j = m.j)"""
+        for c in range(k)
+    )
+    names = ", ".join(f"'{c}'" for c in columns)
+    return f""", sums as materialized (select {sums} from base), m0 as materialized ({cells})
+        {sweeps} select [{names}][i + 1] as feature, round(v, 4) as vif from m{k} where i = j"""
+
+
+@query("vif_base_table", PAYMENT_BASE.rstrip() + _inverse_sql(st.VIF_COLUMNS))
 def vif_base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All thirteen columns of the report on the base table."""
-    columns = [c for c in CORRELATED if c not in ("recency", "avg_name_length")]
-    return st.vif(full_base(spark, sf_dir), columns)
+    found = st.vif(payment_base(spark, sf_dir), st.VIF_COLUMNS)
+    return found.withColumn("vif", F.round("vif", 4))
