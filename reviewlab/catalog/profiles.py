@@ -164,6 +164,23 @@ def distinct_count_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pr.distinct_count(rows, ["l_partkey", "l_orderkey"], approximate=True)
 
 
+@query(
+    "distinct_count_merged",
+    """select unnest(['l_partkey', 'l_orderkey']) as "column",
+       unnest([count(distinct l_partkey), count(distinct l_orderkey)]) as exact,
+       true as within from lineitem""",
+)
+def distinct_count_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact counts, and whether merged sketches of parts come within 5 % (three errors) of them."""
+    names = ["l_partkey", "l_orderkey"]
+    rows = A.load(spark, sf_dir, "lineitem")
+    parts = pr.distinct_sketches(rows, names, by=["l_returnflag"])
+    found = pr.merged_distinct(parts, names).unpivot([], names, "column", "estimate")
+    exact = pr.distinct_count(rows, names).unpivot([], names, "column", "exact")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= 0.05 * F.col("exact")
+    return exact.join(found, "column").select("column", "exact", near.alias("within"))
+
+
 @query("row_count", 'select count(*) as "rows" from lineitem')
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pr.row_count(A.load(spark, sf_dir, "lineitem"))

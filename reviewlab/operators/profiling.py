@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlab.operators.cleaning import missing
+from reviewlab.operators.cleaning import is_float, missing
 
 
 def _numeric(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
@@ -85,10 +85,39 @@ def null_nan_counts(df: DataFrame) -> DataFrame:
 def distinct_count(
     df: DataFrame, columns: Iterable[str], approximate: bool = False, rsd: float = 0.05
 ) -> DataFrame:
-    """One row with the number of distinct values of each column."""
+    """One row with the number of distinct values of each column, nulls left out.
+
+    Exact counts are one grouped pass per column, over that column alone: no row is multiplied by
+    the number of columns before the shuffle. Approximate ones are sketches from a single pass.
+    """
+    names = list(columns)
     if approximate:
-        return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in columns])
-    return df.agg(*[F.count_distinct(c).alias(c) for c in columns])
+        return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in names])
+    counts = [
+        df.select(F.col(c).alias("v")).distinct().agg(F.count("v")).scalar().alias(c) for c in names
+    ]
+    return df.sparkSession.range(1).select(*counts)
+
+
+def distinct_sketches(
+    df: DataFrame, columns: Iterable[str], by: Sequence[str] = (), lg_k: int = 12
+) -> DataFrame:
+    """A sketch of the distinct values of each column, per group, from one pass.
+
+    Sketches can be stored and merged later (``merged_distinct``), so new data needs no second look
+    at old rows. The relative standard error is about 1.04 / sqrt(2 ** lg_k), 1.6 % for 12.
+    """
+    kept = []
+    for c in columns:
+        # 0.0 and -0.0 are one value, as in a grouping
+        value = F.col(c) + 0.0 if is_float(df, c) else F.col(c)
+        kept.append(F.hll_sketch_agg(value.cast("string"), lg_k).alias(c))
+    return df.groupBy(*by).agg(*kept)
+
+
+def merged_distinct(sketches: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row with the approximate number of distinct values behind all sketches of a column."""
+    return sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
 
 
 def key_repeats(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -126,7 +155,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def share_of_total(df: DataFrame, column: str, decimals: int = 1) -> DataFrame:
     """Frequency of each value and its percentage of all rows."""
     counts = value_counts(df, column)
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()  # of the counts, not of the rows once more
     return counts.withColumn("percent", F.round(F.col("n") * 100.0 / total, decimals))
 
 

@@ -17,6 +17,23 @@ def one(frame):
     return frame.head().asDict()
 
 
+def test_merged_sketches(spark):
+    rows = [(g, float(v), v) for g in "ab" for v in range(300)] + [("c", NAN, None), ("c", -0.0, 0)]
+    df = spark.createDataFrame(rows, "g string, x double, v int")
+    parts = pr.distinct_sketches(df, ["x", "v"], by=["g"])
+    assert parts.count() == 3
+    found = one(pr.merged_distinct(parts, ["x", "v"]))
+    assert abs(found["x"] - 301) <= 15 and abs(found["v"] - 300) <= 15
+    assert one(pr.distinct_count(df, ["x", "v"])) == {"x": 301, "v": 300}
+    empty = df.filter("false")
+    assert one(pr.distinct_count(empty, ["x"])) == {"x": 0}
+
+
+def test_exact_counts_multiply_no_rows(df):
+    plan = pr.distinct_count(df, ["i", "s"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
 def test_counts(df):
     assert one(pr.null_counts(df)) == {"i": 0, "x": 1, "s": 1}
     assert one(pr.null_nan_counts(df)) == {"i": 0, "x": 2, "s": 1}
