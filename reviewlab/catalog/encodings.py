@@ -6,10 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlab.catalog.features import rounded
 from reviewlab.catalog.registry import query
-from reviewlab.catalog.roles_sql import with_roles
+from reviewlab.catalog.roles_sql import BASE, with_roles
 from reviewlab.operators import encoding as en
 from reviewlab.operators import features as ft
+from reviewlab.operators import selection as sel
 from reviewlab.operators.sets import SetEncoder, level_counts
 from reviewlab.plans import base_table as bt
 from reviewlab.sources import adapters as A
@@ -149,7 +151,12 @@ def _chi_sql(expressions: dict[str, str]) -> str:
             from lineitem"""
         for name, e in expressions.items()
     )
-    return f"""with cells as (select feature, x, y, count(*) as n from ({tables})
+    return "with " + _scores_sql(tables)
+
+
+def _scores_sql(tables: str) -> str:
+    """The test of every feature, from (feature, x, y) rows."""
+    return f"""cells as (select feature, x, y, count(*) as n from ({tables})
             group by feature, x, y),
         rows_ as (select feature, x, sum(n) as nx from cells group by feature, x),
         cols as (select feature, y, sum(n) as ny from cells group by feature, y),
@@ -214,6 +221,82 @@ def cap_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return en.cap_levels(rows, "customer", 20)
 
 
+# -- selection on the base table --------------------------------------------------------------
+
+# The numeric columns of the base table; what is left are the key, times, the label and the names.
+NUMBERS = """order_count recency is_repeated_customer delivery_duration approval_duration nbr_items
+    min_price max_price avg_price total_price min_shipping_cost max_shipping_cost avg_shipping_cost
+    total_shipping_cost min_item_total_cost max_item_total_cost avg_item_total_cost
+    total_item_total_cost min_shipping_to_price_ratio max_shipping_to_price_ratio
+    avg_shipping_to_price_ratio total_shipping_to_price_ratio avg_name_length
+    avg_description_length avg_product_volume_per_order avg_product_density total_photos
+    total_weight_g total_volume total_product_density distincy_category_count dummy_A dummy_N dummy_R
+    total_payment_sequential total_payment_value avg_payment_installments
+    max_payment_installments monetary_value""".split()
+
+
+def _binned_sql() -> str:
+    numbers = " union all ".join(
+        f"""select '{c}' as feature, cast("{c}" as double) as value, review from base"""
+        for c in NUMBERS
+    )
+    return f"""{with_roles(*BASE).rstrip()},
+        base as materialized (
+            select o.*, i.* exclude (order_id), p.* exclude (order_id),
+                   total_payment_value as monetary_value, review
+            from order_side o join item_profile i using (order_id)
+            join payment_agg p using (order_id) join labels_by_order using (order_id)
+            where i.total_product_density is not null),
+        names as (select distinct unnest(string_split(category, ', ')) as level from base),
+        entries as materialized ({numbers} union all
+            select 'category_' || level,
+                   case when list_contains(string_split(category, ', '), level)
+                        then 1.0::double else 0.0::double end, review from base, names),
+        spans as (select feature, min(value) as low, max(value) as high from entries group by feature),
+        bins as (select feature, review as y, case when high > low
+                then least(floor((value - low) / (high - low) * {sel.BINS}.0::double),
+                           {sel.BINS - 1}) else 0 end as x
+            from entries join spans using (feature)),
+        """ + _scores_sql("select feature, x, y from bins")
+
+
+def base_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base table with the vector that the models see."""
+    base = rounded(bt.build_base_table(A.tables(spark, sf_dir), payment_types=A.PAYMENT_TYPES))
+    stages = en.build_stages(handle_invalid="keep", scale=False, sets=en.set_columns(base))
+    return stages.fit(base).transform(base)
+
+
+@query(
+    "chi2_scores_base",
+    _binned_sql() + "select feature, freedom, round(statistic, 6) as statistic from scores",
+)
+def chi2_scores_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry of the model input, cut into bins, against the label."""
+    scores = sel.binned_scores(base_entries(spark, sf_dir))
+    return scores.select("feature", "freedom", F.round("statistic", 6).alias("statistic"))
+
+
+@query(
+    "chi2_select_base",
+    _binned_sql()
+    + f"""select feature from (select feature, sign(x - freedom)
+              * sqrt(greatest(x - freedom - freedom * ln(x / freedom), 0)) as strength
+            from (select feature, freedom, greatest(statistic, {sel.LEAST_STATISTIC}) as x
+                  from scores where freedom > 0))
+          order by round(strength, {sel.STRENGTH_DECIMALS}) desc, feature
+          limit {en.SELECTED_FEATURES}""",
+)
+def chi2_select_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries that the selection stage of the whole pipeline keeps."""
+    base = rounded(bt.build_base_table(A.tables(spark, sf_dir), payment_types=A.PAYMENT_TYPES))
+    stages = en.build_stages(
+        handle_invalid="keep", sets=en.set_columns(base), select=sel.BinnedSelector()
+    )
+    kept = en.feature_names(stages.fit(base).transform(base), "selectedFeatures")
+    return spark.createDataFrame([(n,) for n in kept], "feature string")
+
+
 # -- splits -----------------------------------------------------------------------------------
 
 

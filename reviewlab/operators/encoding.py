@@ -78,7 +78,7 @@ def build_stages(
     text: str = FORMULA,
     handle_invalid: str = "skip",
     scale: bool = True,
-    select: int | None = None,
+    select: int | Estimator | None = None,
     sets: Iterable[str] = (),
     max_levels: int | None = None,
 ) -> Pipeline:
@@ -86,6 +86,8 @@ def build_stages(
 
     ``sets`` are text columns of joined names, which get an entry per name before the formula sees
     them (``operators.sets``); none of their names is left out, and unknown ones count for nothing.
+    ``select`` is a number of entries for the plain test, where every value is a category, or a
+    selector such as ``selection.BinnedSelector``, which takes continuous entries.
     """
     stages: list[Estimator] = [
         SetEncoder(inputCol=c, outputCol=c, maxLevels=max_levels or 0) for c in sets
@@ -94,7 +96,7 @@ def build_stages(
     if scale:
         stages.append(scaler())
     if select is not None:
-        stages.append(selector(select))
+        stages.append(select if isinstance(select, Estimator) else selector(select))
     return Pipeline(stages=stages)
 
 
