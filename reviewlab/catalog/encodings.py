@@ -329,6 +329,6 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stage_for_training", "select o_orderkey, o_custkey, o_totalprice from orders")
 def stage_for_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spread evenly, written to the shared checkpoint folder and kept."""
+    """Spread evenly and written once to the shared folder."""
     rows = A.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return en.stage_for_training(rows)

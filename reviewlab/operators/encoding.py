@@ -20,7 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from reviewlab.functions.expressions import key_bucket
 from reviewlab.operators.sets import SetEncoder
-from reviewlab.session import shared_folder
+from reviewlab.session import scratch_path
 
 # Label, key and joined-name columns of the review model, shares of the split, size of the selection.
 LABEL = "review"
@@ -215,21 +215,32 @@ def with_fold(df: DataFrame, folds: int, key: str = KEY, seed: int = SPLIT_SEED)
 
 
 def stage_for_training(
-    df: DataFrame, partitions: int | None = None, durable: bool = True
+    df: DataFrame,
+    partitions: int | None = None,
+    durable: bool = True,
+    path: str | None = None,
 ) -> DataFrame:
     """Spread rows evenly and keep them for the many passes of a training run.
 
     Rows go by the hash of all their plain columns: a key with very many rows does not fill one
     partition, and a recomputed row lands where it was. Without a number of partitions the
     session's setting holds and adaptive execution merges small ones; a fixed number such as
-    TRAIN_PARTITIONS suits one size of data only. ``durable`` writes the rows once to the shared
-    checkpoint folder, so that a lost executor costs a read and not the joins behind them. Call
-    ``unpersist`` on the result when done.
+    TRAIN_PARTITIONS suits one size of data only.
+
+    ``durable`` writes the rows once as Parquet to ``path``, by default a new one below the shared
+    folder, so that a lost executor costs a read and not the joins behind them, and a pass reads
+    only its columns. The caller owns that folder: ``session.remove`` deletes it, as does the end
+    of a ``session.scratch`` block. Without it, or with a number of partitions, the rows are
+    persisted; call ``unpersist`` on the result when done.
     """
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, VectorUDT)]
     place = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
-    spread = df.repartition(partitions, place) if partitions else df.repartition(place)
     if durable:
-        shared_folder(df.sparkSession)
-        spread = spread.checkpoint(eager=True)
+        spark = df.sparkSession
+        path = path or scratch_path(spark, "staged")
+        (df if partitions else df.repartition(place)).write.parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
+        if not partitions:
+            return df
+    spread = df.repartition(partitions, place) if partitions else df.repartition(place)
     return spread.persist(StorageLevel.MEMORY_AND_DISK)

@@ -12,6 +12,7 @@ from reviewlab.operators import encoding as en
 from reviewlab.operators import models as md
 from reviewlab.plans.base_table import build_base_table
 from reviewlab.plans.state import FeatureState, load
+from reviewlab.session import remove, scratch_path
 from reviewlab.sources.tables import Tables, export_predictions
 
 
@@ -28,7 +29,8 @@ def fit_final(
 
     Unknown levels are kept, so that every order with complete features gets a prediction.
     """
-    base = en.stage_for_training(base, durable=durable)
+    staged = scratch_path(base.sparkSession, "staged") if durable else None
+    base = en.stage_for_training(base, durable=durable, path=staged)
     sets = en.set_columns(base)
     labelled = base if max_levels is None else en.bound_levels(base, max_levels, key, sets)
     encoder = en.build_stages(formula, "keep", sets=sets, max_levels=max_levels).fit(labelled)
@@ -36,6 +38,8 @@ def fit_final(
     model = md.preset(name, **params).fit(encoded)
     encoded.unpersist()
     base.unpersist()
+    if staged is not None:
+        remove(encoded.sparkSession, staged)
     return encoder, model
 
 

@@ -11,19 +11,27 @@ from pyspark.sql import DataFrame
 from reviewlab.operators import encoding as en
 from reviewlab.operators import models as md
 from reviewlab.operators.evaluation import compare_models, evaluate
+from reviewlab.session import remove, scratch_path
 
 
 @dataclass
 class Prepared:
-    """Encoded rows of both sides, staged for many passes, and the fitted encoder."""
+    """Encoded rows of both sides, staged for many passes, and the fitted encoder.
+
+    It owns the staged rows: ``release`` drops them, and with them what is still to be computed
+    from ``train`` and ``test``. Models, reports and metrics stay.
+    """
 
     train: DataFrame
     test: DataFrame
     encoder: PipelineModel
+    staged: str | None = None
 
     def release(self) -> None:
         self.train.unpersist()
         self.test.unpersist()
+        if self.staged is not None:
+            remove(self.train.sparkSession, self.staged)
 
 
 @dataclass
@@ -48,7 +56,8 @@ def prepare(
     Every level of a text column, and every name of a column of joined names, is encoded, unless
     the caller bounds them by ``max_levels``.
     """
-    base = en.stage_for_training(base, partitions, durable)
+    staged = scratch_path(base.sparkSession, "staged") if durable else None
+    base = en.stage_for_training(base, partitions, durable, staged)
     train, test = en.split(base, key=key)
     sets = en.set_columns(base)
     if max_levels is not None:
@@ -60,7 +69,7 @@ def prepare(
     encoded_train.count()
     encoded_test.count()
     base.unpersist()
-    return Prepared(encoded_train, encoded_test, encoder)
+    return Prepared(encoded_train, encoded_test, encoder, staged)
 
 
 def train_and_evaluate(data: Prepared, name: str, key: str = en.KEY, **params) -> Trained:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,37 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# The paths that each application was given below its shared folder, in order.
+_given: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path below the shared folder; who writes there removes it, or a ``scratch`` block."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system that Spark can write to; none there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    given = _given.get(spark.sparkContext.applicationId, [])
+    if path in given:
+        given.remove(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at its end what is written to scratch paths inside the block, also after an error.
+
+    Tables between steps are read by the results that were made from them, so these have to be
+    written or collected before the block ends.
+    """
+    application = spark.sparkContext.applicationId
+    before = set(_given.get(application, []))
+    try:
+        yield
+    finally:
+        for path in [p for p in _given.get(application, []) if p not in before]:
+            remove(spark, path)
