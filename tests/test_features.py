@@ -124,6 +124,14 @@ def test_item_products(spark):
     assert whole["o2"].total_volume is None and whole["o2"].nbr_items == 1
 
 
+def test_lines_and_not_buffers_are_moved_to_their_order(spark):
+    items = spark.createDataFrame([("o1", 1, "pA", 1.0, 1.0)], ITEMS)
+    profile = ft.order_item_profile(items, products(spark))
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    # read from the top: both halves of the sums come before the shuffle by order
+    assert "partial_min" in plan.partition("Exchange hashpartitioning(order_id")[0]
+
+
 def test_payments(spark):
     data = [
         ("o1", 1, "voucher", 2, 10.0),
