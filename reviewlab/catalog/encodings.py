@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from reviewlab.operators import features as ft
 from reviewlab.operators import selection as sel
 from reviewlab.operators.sets import SetEncoder, level_counts
 from reviewlab.plans import base_table as bt
+from reviewlab.session import remove, scratch_path
 from reviewlab.sources import adapters as A
 
 
@@ -260,11 +264,15 @@ def _binned_sql() -> str:
         """ + _scores_sql("select feature, x, y from bins")
 
 
-def base_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base table with the vector that the models see."""
+@contextmanager
+def staged_base(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The base table written once for the passes of learning and testing, and then deleted."""
     base = rounded(bt.build_base_table(A.tables(spark, sf_dir), payment_types=A.PAYMENT_TYPES))
-    stages = en.build_stages(handle_invalid="keep", scale=False, sets=en.set_columns(base))
-    return stages.fit(base).transform(base)
+    path = scratch_path(spark, "staged")
+    try:
+        yield en.stage_for_training(base, path=path, spread=False)
+    finally:
+        remove(spark, path)
 
 
 @query(
@@ -273,8 +281,12 @@ def base_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def chi2_scores_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every entry of the model input, cut into bins, against the label."""
-    scores = sel.binned_scores(base_entries(spark, sf_dir))
-    return scores.select("feature", "freedom", F.round("statistic", 6).alias("statistic"))
+    with staged_base(spark, sf_dir) as base:
+        stages = en.build_stages(handle_invalid="keep", scale=False, sets=en.set_columns(base))
+        scores = sel.binned_scores(stages.fit(base).transform(base))
+        scores = scores.select("feature", "freedom", F.round("statistic", 6).alias("statistic"))
+        # one row per entry of the vector
+        return spark.createDataFrame(scores.collect(), scores.schema)
 
 
 @query(
@@ -289,11 +301,11 @@ def chi2_scores_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def chi2_select_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entries that the selection stage of the whole pipeline keeps."""
-    base = rounded(bt.build_base_table(A.tables(spark, sf_dir), payment_types=A.PAYMENT_TYPES))
-    stages = en.build_stages(
-        handle_invalid="keep", sets=en.set_columns(base), select=sel.BinnedSelector()
-    )
-    kept = en.feature_names(stages.fit(base).transform(base), "selectedFeatures")
+    with staged_base(spark, sf_dir) as base:
+        stages = en.build_stages(
+            handle_invalid="keep", sets=en.set_columns(base), select=sel.BinnedSelector()
+        )
+        kept = en.feature_names(stages.fit(base).transform(base), "selectedFeatures")
     return spark.createDataFrame([(n,) for n in kept], "feature string")
 
 

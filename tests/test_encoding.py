@@ -106,3 +106,11 @@ def test_stage_for_training(rows):
 def test_small_samples_are_not_empty(spark):
     keys = spark.range(1_000_000).withColumnRenamed("id", "order_id")
     assert 10 <= en.hash_sample(keys, 0.00004).count() <= 90
+
+
+def test_staged_as_the_rows_lie(spark, tmp_path):
+    rows = spark.range(0, 90, 1, 3)
+    staged = en.stage_for_training(rows, path=str(tmp_path / "staged"), spread=False)
+    parts = staged.select(F.col("_metadata.file_name").alias("file"), "id").collect()
+    files = {f: sorted(r["id"] for r in parts if r["file"] == f) for f in {r["file"] for r in parts}}
+    assert sorted(files.values()) == [[*range(0, 30)], [*range(30, 60)], [*range(60, 90)]]

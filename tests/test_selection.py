@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from reviewlab.catalog import QUERIES
 from reviewlab.operators import encoding as en
 from reviewlab.operators import selection as sel
 
@@ -86,3 +88,33 @@ def test_no_rows(encoded):
     assert sel.binned_scores(encoded.limit(0)).count() == 0
     with pytest.raises(ValueError):
         sel.BinnedSelector().fit(encoded.limit(0))
+
+
+def test_base_table_is_built_once_for_all_passes(spark, monkeypatch, tmp_path):
+    days = [F.lit(f"2024-01-0{d}").cast("timestamp_ntz") for d in range(1, 5)]
+    n = F.col("id")
+    spark.range(300).select(
+        n.alias("o_orderkey"), (n % 50).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        days[0].alias("o_orderdate"),
+        F.concat((n % 5 + 1).cast("string"), F.lit("-X")).alias("o_orderpriority"),
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(900).select(
+        (n % 300).alias("l_orderkey"), (n % 40).alias("l_partkey"),
+        (n / 300).cast("int").alias("l_linenumber"), (n * 1.5 + 1).alias("l_extendedprice"),
+        F.lit(0.05).alias("l_discount"), F.lit(0.02).alias("l_tax"),
+        F.substring(F.lit("ANR"), (n % 3 + 1).cast("int"), F.lit(1)).alias("l_returnflag"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(40).select(
+        n.alias("p_partkey"), F.concat(F.lit("name"), n).alias("p_name"), F.lit("b").alias("p_brand"),
+        F.concat(F.lit("T"), n % 3).alias("p_type"), (n % 10 + 1).cast("int").alias("p_size"),
+    ).write.parquet(str(tmp_path / "part.parquet"))
+    read, writes = en.stage_for_training, []
+
+    def staged(df, **options):
+        writes.append(options["path"])
+        return read(df, **options)
+
+    monkeypatch.setattr(en, "stage_for_training", staged)
+    for name in ("chi2_scores_base", "chi2_select_base"):
+        assert QUERIES[name](spark, str(tmp_path)).count() > 0
+    assert len(writes) == 2 and not any(Path(p).exists() for p in writes)
