@@ -90,3 +90,13 @@ def test_one_tree_cut_at_any_depth(data):
 def test_unknown_parameter_is_refused(data):
     with pytest.raises(ValueError):
         md.tune(data.train, "gbt", {"numTrees": [3]})
+
+
+def test_a_fit_has_no_more_partitions_than_it_needs(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 1000, 1, 64)
+    assert staged.tree_rows(rows).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(staged, "PARTITION_ROWS", 5)
+    assert staged.tree_rows(rows).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(staged, "MOST_ROWS", 30)
+    assert staged.tree_rows(rows).rdd.getNumPartitions() == 1000 // 30 + 1
