@@ -14,11 +14,14 @@ Counting. For candidate pairs the global order is cut into a few vertical partit
 the pairs' partial overlaps on its own, and the counts are summed per pair.
 
 Groups of copies. Equal sets are one node. Documents that meet in a fragment are first compared
-with the most central node there, not with each other; connected components follow; then only
-pairs of nodes in different components that meet somewhere are left: first the most similar pair of
-every two components is compared, then those that are still apart. So a group isn't compared pair
-by pair, and no link between components is lost. Parity sketches, which bound from below in how
-many n-grams two sets differ, drop pairs before they are made and before sets are sent.
+with the most central node there, not with each other: every document with the most central of
+these nodes, then with those it is still apart from; connected components follow; then only pairs
+of nodes in different components that meet somewhere are left: first the most similar pair of every
+two components is compared, then those that are still apart. So a group isn't compared pair by
+pair, and no link between components is lost. Of meeting places with the same nodes one is kept.
+Parity sketches, which bound from below in how many n-grams two sets differ, drop pairs before they
+are made and before sets are sent; a larger set has a wider one, so that its allowed differences
+don't fill it.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing;
 fewer words than n make one n-gram; rows repeated in full, or several texts under one key, are one
@@ -46,10 +49,11 @@ CLASS_FACTOR = 1.7
 # Bits of a parity sketch, kept as 64-bit words.
 BITS = 512
 SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
-# Bits of the wide sketch that candidate pairs are compared by before their sets are. Nodes still
-# apart are compared by its half where they meet: the short one says nothing about sets of more
-# than about a thousand n-grams, whose allowed differences fill it.
-WIDE_BITS = 4096
+# A wide sketch, by which candidate pairs are compared before their sets are, has at least so many
+# bits, and so many for every allowed difference. Nodes still apart are compared by its half where
+# they meet: the short one says nothing about sets of more than about a thousand n-grams, whose
+# allowed differences fill it.
+WIDE_BITS, WIDE_FACTOR = 4096, 12
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SEPARATOR = np.zeros(256, bool)
@@ -265,17 +269,22 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
     return df.select("node", "text").mapInArrow(emit, "node bigint, part int, grams array<bigint>")
 
 
-def wide_sketches(df: DataFrame, n: int) -> DataFrame:
+def wide_bits(differences: int) -> int:
+    """Bits of the wide sketch of a set that may differ in so many n-grams, a power of two."""
+    return max(WIDE_BITS, 1 << max(WIDE_FACTOR * differences - 1, 0).bit_length())
+
+
+def wide_sketches(df: DataFrame, n: int, percent: int = 85) -> DataFrame:
     """(node, wide) of (node, text) rows; a row with another text of the node's key is left out."""
 
     @F.arrow_udf("struct<own:bigint,wide:array<bigint>>")
     def wide(column: pa.Array) -> pa.Array:
-        own, words = [], []
+        cuts, own, words = Cuts(percent), [], []
         for grams in ngram_sets(column, n):
             own.append(node_of(grams))
-            words.append(sketch_of(grams, WIDE_BITS))
+            words.append(sketch_of(grams, wide_bits(cuts.most_different(len(grams)))))
         release()
-        at = pa.array(np.arange(len(words) + 1) * (WIDE_BITS // 64), pa.int32())
+        at = pa.array(np.cumsum([0, *map(len, words)]), pa.int32())
         flat = pa.array(np.concatenate([np.zeros(0, np.int64), *words]))
         columns = [pa.array(own, pa.int64()), pa.ListArray.from_arrays(at, flat)]
         return pa.StructArray.from_arrays(columns, ["own", "wide"])
@@ -286,46 +295,45 @@ def wide_sketches(df: DataFrame, n: int) -> DataFrame:
 
 def halved(wide: str) -> Column:
     """The sketch of half as many bits: of two bits that become one, whether they differ."""
-    words = WIDE_BITS // 128
-    return F.zip_with(
-        F.slice(wide, 1, words), F.slice(wide, words + 1, words), lambda x, y: x.bitwiseXOR(y)
-    )
+    words = (F.size(wide) / 2).cast("int")
+    first, last = F.slice(wide, F.lit(1), words), F.slice(wide, words + 1, words)
+    return F.zip_with(first, last, lambda x, y: x.bitwiseXOR(y))
+
+
+def _folded(wide: str, other: str) -> Column:
+    """A sketch, halved if the other has fewer bits.
+
+    Sizes that allow a link are so near that one sketch has at most twice the bits of the other.
+    """
+    return F.when(F.size(wide) > F.size(other), halved(wide)).otherwise(F.col(wide))
 
 
 def close(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
     """The pairs that differ in few enough bits of their wide sketches; no link is lost."""
+    columns = pairs.columns
     for i in "ab":
         pairs = pairs.join(wide.select(F.col("node").alias(i), F.col("wide").alias(f"wide_{i}")), i)
-    near = pairs.filter(_near_wide(percent))
-    return written(near.select("a", "b", "size_a", "size_b"), "close")
+    return written(pairs.filter(_near_wide(percent)).select(columns), "close")
 
 
 def _near_wide(percent: int) -> Column:
     """Whether the wide sketches of a pair allow a link, of a node without one that they do."""
-    bits = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    x, y = _folded("wide_a", "wide_b"), _folded("wide_b", "wide_a")
+    bits = F.zip_with(x, y, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, k: total + k)
     least = F.least("size_a", "size_b")
     return F.coalesce(percent * differ <= (100 - percent) * least, F.lit(True))
 
 
 def linked(
-    pairs: DataFrame,
-    rows: DataFrame,
-    own: DataFrame,
-    n: int,
-    percent: int,
-    wide: DataFrame | None = None,
+    pairs: DataFrame, rows: DataFrame, own: DataFrame, n: int, percent: int
 ) -> DataFrame:
     """The (a, b) pairs of nodes whose sets are similar enough.
 
-    ``pairs`` has a, b and their set sizes size_a, size_b, as a written table; ``wide`` has the wide
-    sketches of their nodes, where they are known.
+    ``pairs`` has a, b and their set sizes size_a, size_b, as a written table.
     """
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    if wide is None:
-        wide = written(wide_sketches(_texts(rows, own, _ends(pairs)), n), "wide")
-    pairs = close(pairs, wide, percent)
     texts = _texts(rows, own, _ends(pairs))
     parts = partitions(texts, n).filter(F.size("grams") > 0)
     # sets go straight to the partition of a, once for every pair and once for a itself
@@ -357,25 +365,33 @@ def groups(
         meetings(rows, n, percent)
         .withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same)})
         .filter("least < most")
-        .select("signature", "node"),
+        .select("signature", "node")
+        .distinct(),  # several tasks may have had the same set
         "shared",
     )
+    wide = written(wide_sketches(_texts(rows, own, shared.select("node")), n, percent), "wide")
     # first the most central node of every meeting place with all others there
     met = shared.withColumn("met", F.count("*").over(same))
     central = met.groupBy("node").agg(F.sum("met").alias("met"))
     hub = F.max(F.struct("met", "node")).over(same)
     first = (
         shared.join(central, "node")
-        .select(hub["node"].alias("a"), F.col("node").alias("b"))
+        .select(hub["node"].alias("a"), F.col("node").alias("b"), hub["met"].alias("met"))
         .filter("a <> b")
         .distinct()
     )
     for i in "ab":
         first = first.join(_side(known, i), i)
-    first = written(first.filter(_near(percent)).select("a", "b", "size_a", "size_b"), "pairs")
-    links = written(linked(first, rows, own, n, percent).union(_same_key(own)), "links")
+    first = first.filter(_near(percent)).select("a", "b", "size_a", "size_b", "met")
+    first = close(written(first, "pairs"), wide, percent)
+    chosen = written(most_central(first), "chosen")
+    links = written(linked(chosen, rows, own, n, percent).union(_same_key(own)), "links")
     alone = known.select("node", F.col("node").alias("component"))
     parts = merged(alone, links)
+    # a node that isn't linked with the most central one, with the others
+    others = written(still_apart(first.join(chosen, ["a", "b"], "left_anti"), parts), "others")
+    if not others.isEmpty():
+        parts = merged(parts, written(linked(others, rows, own, n, percent), "links"))
     # then nodes of different components that meet somewhere
     placed = (
         shared.join(parts, "node")
@@ -385,8 +401,8 @@ def groups(
         .filter("lowest < highest")
         .select("signature", "node", "component")
     )
-    placed = written(placed.join(known, "node"), "open")
-    wide = written(wide_sketches(_texts(rows, own, placed.select("node")), n), "wide")
+    placed = distinct_places(written(placed, "open"))
+    placed = placed.join(known, "node")
     placed = placed.join(wide.select("node", halved("wide").alias("wide")), "node", "left")
     x, y = (
         _side(placed, i, "signature", *(F.col(c).alias(f"{c}_{i}") for c in ("component", "wide")))
@@ -407,19 +423,42 @@ def groups(
         F.greatest("component_a", "component_b").alias("y"),
     ).agg(F.min_by(F.struct("a", "b", "size_a", "size_b"), F.struct("differ", "a", "b")).alias("p"))
     best = written(best.select("p.*"), "best")
-    parts = merged(parts, written(linked(best, rows, own, n, percent, wide), "links"))
+    parts = merged(parts, written(linked(best, rows, own, n, percent), "links"))
     # at last all that are still apart
-    apart = second.join(best, ["a", "b"], "left_anti").select("a", "b", "size_a", "size_b")
-    for i in "ab":
-        side = parts.select(F.col("node").alias(i), F.col("component").alias(f"component_{i}"))
-        apart = apart.join(side, i)
-    apart = apart.filter("component_a <> component_b").select("a", "b", "size_a", "size_b")
-    apart = written(apart, "apart")
+    apart = written(still_apart(second.join(best, ["a", "b"], "left_anti"), parts), "apart")
     if not apart.isEmpty():
-        parts = merged(parts, written(linked(apart, rows, own, n, percent, wide), "links"))
+        parts = merged(parts, written(linked(apart, rows, own, n, percent), "links"))
     return labelled(own, parts, key)
 
 
+def most_central(pairs: DataFrame) -> DataFrame:
+    """For every b the pair with the most central a."""
+    best = F.max_by(F.struct("a", "b", "size_a", "size_b"), F.struct("met", "a"))
+    return pairs.groupBy("b").agg(best.alias("p")).select("p.*")
+
+
+def still_apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs whose nodes are in different components."""
+    pairs = pairs.select("a", "b", "size_a", "size_b")
+    for i in "ab":
+        side = parts.select(F.col("node").alias(i), F.col("component").alias(f"component_{i}"))
+        pairs = pairs.join(side, i)
+    return pairs.filter("component_a <> component_b").select("a", "b", "size_a", "size_b")
+
+
+def distinct_places(placed: DataFrame) -> DataFrame:
+    """Of the signatures that the same nodes share only one: the others pair nobody else.
+
+    ``placed`` has a row for every signature and node. The nodes of a signature go by their number
+    and 128 bits of hashes.
+    """
+    members = [F.count("*"), F.bit_xor("node"), F.bit_xor(F.xxhash64("node"))]
+    names = ["count", "members", "hashed"]
+    lists = placed.groupBy("signature").agg(*(m.alias(c) for m, c in zip(members, names)))
+    kept = lists.groupBy(*names).agg(F.min("signature").alias("signature")).select("signature")
+    return placed.join(kept, "signature", "left_semi")
+
+
 def _side(nodes: DataFrame, i: str, *more) -> DataFrame:
     """Nodes as side a or b of a pair, with their set sizes and sketches."""
     columns = [F.col(w).alias(f"{w}_{i}") for w in SKETCH]
