@@ -100,3 +100,25 @@ def test_a_fit_has_no_more_partitions_than_it_needs(spark, monkeypatch):
     assert staged.tree_rows(rows).rdd.getNumPartitions() == cores
     monkeypatch.setattr(staged, "MOST_ROWS", 30)
     assert staged.tree_rows(rows).rdd.getNumPartitions() == 1000 // 30 + 1
+
+
+def test_a_large_forest_is_fitted_in_parts(data, monkeypatch):
+    """All trees, drawn apart, in one model that is scored, saved and reported as any other."""
+    spark = data.train.sparkSession
+    monkeypatch.setattr(staged, "PART_TREES", 3)
+    model = md.fit(data.train, "rf", numTrees=7, maxDepth=5)
+    assert model.getNumTrees == len(model.trees) == len(model.treeWeights) == 7
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in model.trees}) == 7
+    assert model.getOrDefault("maxDepth") == 5 and model.getSeed() == md.PRESETS["rf"]["seed"]
+    assert model.featureImportances.toArray().sum() == pytest.approx(1)
+    parts = [tree.featureImportances.toArray() for tree in model.trees]
+    assert model.featureImportances.toArray() == pytest.approx(sum(parts) / 7)
+    score = staged.point_scores(staged.trees(model, spark), F.col("features"), spark, [None], [7])
+    rows = model.transform(data.test).withColumn("score", score[0])
+    raw = vector_to_array("rawPrediction")[1]
+    assert rows.filter(F.abs(F.col("score") - raw) > 1e-9).isEmpty() and not rows.isEmpty()
+    again = md.fit(data.train, "rf", numTrees=7, maxDepth=5)
+    assert again.toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
+    monkeypatch.setattr(staged, "WALKED_ROWS", 10)
+    whole = md.fit(data.train, "rf", numTrees=7, maxDepth=5)
+    assert whole.getNumTrees == 7 and len(whole.trees) == 7
