@@ -321,8 +321,7 @@ def _near_wide(percent: int) -> Column:
     x, y = _folded("wide_a", "wide_b"), _folded("wide_b", "wide_a")
     bits = F.zip_with(x, y, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, k: total + k)
-    least = F.least("size_a", "size_b")
-    return F.coalesce(percent * differ <= (100 - percent) * least, F.lit(True))
+    return F.coalesce(_allowed(differ, percent), F.lit(True))
 
 
 def linked(
@@ -499,7 +498,12 @@ def _differ() -> Column:
 def _near(percent: int) -> Column:
     """Whether sizes and sketches of a pair allow a link; exact, as both only give bounds."""
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    return (100 * least >= percent * most) & (percent * _differ() <= (100 - percent) * least)
+    return (100 * least >= percent * most) & _allowed(_differ(), percent)
+
+
+def _allowed(differ: Column, percent: int) -> Column:
+    """Whether two linked sets can differ in so many n-grams: just as many as their sizes leave."""
+    return (100 + percent) * differ <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

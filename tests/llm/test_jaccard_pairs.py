@@ -36,6 +36,23 @@ def test_large_sets_that_differ_twice_too_much_are_no_pair(spark):
     assert pairs.count() == 1 and pairs.filter(jaccard_join._near_wide(85)).count() == 0
 
 
+def test_sets_that_differ_a_little_too_much_are_no_pair(spark):
+    """The sizes of both say how much they can differ, which is less than that of one allows."""
+    words = [f"w{i}" for i in range(9000)]
+    rows = []
+    for count in (184, 176):  # of 18,000 n-grams 1459 may differ; 8 do for every word
+        texts = [" ".join(words), " ".join([*_replaced(words, count, "x"), "more"])]
+        a, b = jaccard_join.ngram_sets(pa.array(texts), 4)
+        both = len(set(a.tolist()) & set(b.tolist()))
+        differ = len(a) + len(b) - 2 * both
+        rows.append((len(a), len(b), differ, 100 * both >= 85 * (len(a) + len(b) - both)))
+        rows.append((len(a), len(b), 8 * differ // 7, False))
+    df = spark.createDataFrame(rows, "size_a int, size_b int, differ int, linked boolean")
+    for r in df.withColumn("allowed", jaccard_join._allowed(F.col("differ"), 85)).collect():
+        similar = (r.size_a + r.size_b - r.differ) / (r.size_a + r.size_b + r.differ)
+        assert r.allowed == (similar >= 0.85) and (r.allowed or not r.linked)
+
+
 def test_linked_sets_with_sketches_of_two_widths_stay_a_pair(spark):
     words = [f"w{i}" for i in range(8000)]
     texts = [" ".join(words[:7400]), " ".join(words), " ".join(_replaced(words[:7500], 50, "x"))]
