@@ -122,3 +122,22 @@ def test_a_large_forest_is_fitted_in_parts(data, monkeypatch):
     monkeypatch.setattr(staged, "WALKED_ROWS", 10)
     whole = md.fit(data.train, "rf", numTrees=7, maxDepth=5)
     assert whole.getNumTrees == 7 and len(whole.trees) == 7
+
+
+def test_fits_on_many_rows_run_two_at_a_time():
+    assert staged.side_by_side(8, 1_000) == 8 and staged.side_by_side(8, 0) == 8
+    assert staged.side_by_side(8, 4_000_000) == staged.side_by_side(8, 10**9) == 2
+    assert staged.side_by_side(1, 10**9) == 1
+
+
+def test_only_the_vector_asked_for_is_kept(data):
+    base = data.encoded.drop("features", "scaledFeatures", "label")
+    for name, vector in (("svm", "scaledFeatures"), ("dt", "features")):
+        own = tr.prepare(base, vectors=[md.vector_of(name)])
+        assert own.train.columns == ["order_id", vector, "label", "fold"]
+        kept = own.train.select("order_id", vector, "label")
+        both = data.train.join(base.select("order_id"), "order_id", "left_semi")
+        inside = own.train.join(both, "order_id").select("order_id")
+        assert kept.count() == own.train.count() and inside.count() == kept.count()
+        assert md.feature_names(own.encoded) and tr.train_and_evaluate(own, name).metrics.count()
+        own.release()
