@@ -130,14 +130,21 @@ def test_fits_on_many_rows_run_two_at_a_time():
     assert staged.side_by_side(1, 10**9) == 1
 
 
-def test_only_the_vector_asked_for_is_kept(data):
-    base = data.encoded.drop("features", "scaledFeatures", "label")
-    for name, vector in (("svm", "scaledFeatures"), ("dt", "features")):
-        own = tr.prepare(base, vectors=[md.vector_of(name)])
-        assert own.train.columns == ["order_id", vector, "label", "fold"]
-        kept = own.train.select("order_id", vector, "label")
-        both = data.train.join(base.select("order_id"), "order_id", "left_semi")
-        inside = own.train.join(both, "order_id").select("order_id")
-        assert kept.count() == own.train.count() and inside.count() == kept.count()
-        assert md.feature_names(own.encoded) and tr.train_and_evaluate(own, name).metrics.count()
-        own.release()
+def test_only_the_unscaled_vectors_are_kept(data):
+    base = data.train.select("order_id", F.col("label").alias("review"))
+    base = base.withColumn("delay", F.pmod("order_id", F.lit(7)))
+    own = tr.prepare(base)
+    names = ["order_id", "features", "scaledFeatures", "label"]
+    assert own.train.columns == [*names, "fold"] and own.test.columns == names
+    assert [side.columns for side in own.kept] == [
+        ["order_id", "features", "label", "fold"],
+        ["order_id", "features", "label"],
+    ]
+    assert all(side.storageLevel.useMemory for side in own.kept)
+    whole = own.encoder.transform(base).select("order_id", F.col("scaledFeatures").alias("wanted"))
+    found = own.train.drop("fold").union(own.test).join(whole, "order_id")
+    assert found.count() == base.count()
+    differ = F.col("scaledFeatures").cast("string") != F.col("wanted").cast("string")
+    assert found.filter(differ).isEmpty()
+    own.release()
+    assert not any(side.storageLevel.useMemory for side in own.kept)
