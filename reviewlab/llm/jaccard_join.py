@@ -233,14 +233,19 @@ def meetings(df: DataFrame, n: int, percent: int, text: str = "text") -> DataFra
 
 
 def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
-    """(node, part, grams): the sets of (node, text) rows, cut at fixed places of the order."""
+    """(node, part, grams): the sets of (node, text) rows, cut at fixed places of the order.
+
+    A node has every part once, in however many rows its text is.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             nodes, kept, rows = [], [], 0
             for node, grams in zip(batch.column(0).to_pylist(), ngram_sets(batch.column(1), n)):
-                if node_of(grams) != node:
-                    continue  # another text under the same key
+                if node in seen or node_of(grams) != node:
+                    continue  # a copy, or another text under the same key
+                seen.add(node)
                 nodes.append(node)
                 kept.append(grams)
                 rows += len(grams)
@@ -266,7 +271,8 @@ def partitions(df: DataFrame, n: int, count: int = PARTITIONS) -> DataFrame:
             ["node", "part", "grams"],
         )
 
-    return df.select("node", "text").mapInArrow(emit, "node bigint, part int, grams array<bigint>")
+    parts = df.select("node", "text").mapInArrow(emit, "node bigint, part int, grams array<bigint>")
+    return parts.filter(F.size("grams") > 0).dropDuplicates(["node", "part"])
 
 
 def wide_bits(differences: int) -> int:
@@ -334,7 +340,7 @@ def linked(
     if pairs.isEmpty():
         return pairs.select("a", "b")
     texts = _texts(rows, own, _ends(pairs))
-    parts = partitions(texts, n).filter(F.size("grams") > 0)
+    parts = partitions(texts, n)
     # sets go straight to the partition of a, once for every pair and once for a itself
     left = parts.withColumnsRenamed({"node": "a", "grams": "x"})
     left = left.join(small(pairs.select("a").distinct()), "a", "left_semi")
@@ -342,10 +348,8 @@ def linked(
     overlap = F.size(F.array_intersect("x", "y"))
     return (
         right.join(left, ["a", "part"])
-        .groupBy("a", "b", "size_a", "size_b", "part")
-        .agg(F.max(overlap).alias("both"))  # a text may be there twice, in repeated rows
         .groupBy("a", "b", "size_a", "size_b")
-        .agg(F.sum("both").alias("both"))
+        .agg(F.sum(overlap).alias("both"))
         .filter(100 * F.col("both") >= percent * (F.col("size_a") + F.col("size_b") - F.col("both")))
         .select("a", "b")
     )

@@ -88,3 +88,24 @@ def test_a_group_of_near_copies_is_compared_once_per_member(spark, monkeypatch):
     found = jaccard_join.groups(df, n=4, percent=85).collect()
     assert {r.component_id for r in found} == {0}
     assert sum(asked) < len(docs)
+
+
+def test_copies_under_one_key_are_cut_once(spark):
+    """Rows that share a text share its key in the pipeline, so they don't pair with one another."""
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words), " ".join(_replaced(words, 1, "x")), " ".join(words[:60])]
+    sets = list(jaccard_join.ngram_sets(pa.array(texts), 4))
+    names = [jaccard_join.node_of(g) for g in sets]
+    rows = [(name, text) for name, text in zip(names, texts)] * 30
+    rows += [(names[0], "another text under the key of the first one")] * 5
+    df = spark.createDataFrame(rows, "node bigint, text string").repartition(4)
+    parts = jaccard_join.partitions(df, 4).collect()
+    assert len(parts) == len({(r.node, r.part) for r in parts}) <= 3 * jaccard_join.PARTITIONS
+    for name, grams in zip(names, sets):
+        found = [g for r in parts if r.node == name for g in r.grams]
+        assert sorted(found) == sorted(grams.astype("int64").tolist())
+    copies = spark.createDataFrame([(t,) for t in texts * 30], "text string").repartition(4)
+    keyed = copies.withColumn("code", F.xxhash64("text"))
+    found = jaccard_join.groups(keyed, n=4, percent=85, key="code")
+    sizes = found.groupBy("component_id").count().collect()
+    assert sorted(r["count"] for r in sizes) == [30, 60]
