@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import math
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from reviewlab.operators import evaluation as ev
 
@@ -95,3 +99,24 @@ def test_log_loss_clips(spark):
     df = frame(spark, [(0.0, 1, 0), (1.0, 1, 1), (0.25, 0, 0)])
     want = (-math.log(1e-15) - math.log(1 - 1e-15) - math.log(0.75)) / 3
     assert ev.log_loss(df).head()["log_loss"] == pytest.approx(want)
+
+
+def test_measures_are_taken_from_written_scores(spark, monkeypatch):
+    """No pass after the first is sent the model, and nothing stays in the scratch folder."""
+    seen, area = [], ev.auc_roc
+
+    def asked(rows, *rest):
+        seen.extend(rows.inputFiles())
+        return area(rows, *rest)
+
+    monkeypatch.setattr(ev, "auc_roc", asked)
+    pair = F.array(1 - F.col("p"), F.col("p"))
+    scored = spark.range(0, 40, 1, 4).select(
+        (F.col("id") % 2).cast("double").alias("label"),
+        ((F.col("id") % 3) / 2).cast("double").alias("p"),
+        (F.col("id") % 3 > 1).cast("double").alias("prediction"),
+    )
+    scored = scored.withColumn("probability", array_to_vector(pair))
+    found = {r.metric: r.value for r in ev.evaluate(scored).collect()}
+    assert seen and not any(Path(urlparse(file).path).exists() for file in seen)
+    assert found["rows"] == 40 and 0 < found["auc"] < 1
