@@ -97,3 +97,33 @@ def test_packed_rows_come_back():
     bins = fo.Bins([np.zeros(0), np.zeros(1), np.arange(5.0), np.zeros(1), np.arange(200.0)])
     x = np.stack([np.arange(50) % s for s in bins.sizes], axis=1).astype(bins.kind)
     assert (bins.unpack(bins.pack(x)) == x).all()
+
+
+def test_boosting_in_a_task_is_sparks(data):
+    """Scores of held-out rows after some rounds, for two points that share their bins."""
+    used, names = F.col("fold") != 0, ["maxDepth", "stepSize"]
+    points = [(3, 0.5), (5, 0.1)]
+    cut = fo.binned(data.train, "features", 32, used)
+    scored = fo.boosted(cut, points, [1, 4])
+    for fit, point in enumerate(points):
+        got = scored.filter(F.col("fit") == fit)
+        for k, rounds in enumerate((1, 4)):
+            model = md.classifier("gbt", maxIter=rounds, **dict(zip(names, point)))
+            own = model.fit(data.train.filter(used)).transform(data.train.filter(~used))
+            raw = own.select(vector_to_array("rawPrediction")[1], "label").collect()
+            mine = got.select(F.col("scores")[k], "label").collect()
+            assert len(mine) == len(raw) > 0
+            a, b = (sorted((round(r[0], 6), r[1]) for r in rows) for rows in (mine, raw))
+            assert np.allclose(a, b, atol=1e-5)
+
+
+@pytest.mark.parametrize("name", ["dt", "rf", "gbt"])
+def test_searches_fit_no_tree_with_spark(data, monkeypatch, name):
+    def refused(*args, **kwargs):
+        raise AssertionError("fitted level by level")
+
+    monkeypatch.setattr(staged, "fit_trees", refused)
+    values = {"maxDepth": [2, 4], "maxBins": [8, 16]}
+    values |= {"rf": {"numTrees": [2, 5]}, "gbt": {"maxIter": [1, 3]}}.get(name, {})
+    found = md.tune(data.train, name, values, folds=2)
+    assert len(found.avgMetrics) == len(found.points) and min(found.avgMetrics) > 0.6
