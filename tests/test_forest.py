@@ -123,6 +123,7 @@ def test_searches_fit_no_tree_with_spark(data, monkeypatch, name):
         raise AssertionError("fitted level by level")
 
     monkeypatch.setattr(staged, "fit_trees", refused)
+    monkeypatch.setitem(staged.BINNED_FROM, name, 0)
     values = {"maxDepth": [2, 4], "maxBins": [8, 16]}
     values |= {"rf": {"numTrees": [2, 5]}, "gbt": {"maxIter": [1, 3]}}.get(name, {})
     found = md.tune(data.train, name, values, folds=2)
